@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from labelweave.workload import labelling_queries  # noqa: F401
+from labelweave.workload import token_queries  # noqa: F401
 from labelweave.workload.registry import ORACLES, QUERIES
 
 
