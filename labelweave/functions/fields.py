@@ -1,6 +1,7 @@
 """Fields of a record: cleaning, parsing and what a file path tells."""
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import functions as F
 
@@ -93,6 +94,11 @@ def folder_parents(parts):
         F.when(depth == 3, file_name).when(depth >= 4, F.get(parts, F.lit(2))).alias("city"))
 
 
+def plain_location(path):
+    """A file location Spark reported percent-encoded, as it was given."""
+    return unquote(path)
+
+
 # --- headers ----------------------------------------------------------------
 
 def _folded(name):

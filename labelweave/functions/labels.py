@@ -3,16 +3,11 @@
 from pyspark.sql import functions as F
 
 from labelweave import fixed
+from labelweave.functions.binding import let
 
 # Prefix sums are taken in slices of this many tokens. Slices keep the work
-# linear in the document length instead of quadratic.
-_SLICE = 128
-
-
-def ordered_parts(order, fields):
-    """The (label, value) parts of a record in the given order."""
-    return F.transform(order, lambda label: F.struct(
-        label.alias("label"), F.element_at(fields, label).alias("value")))
+# close to linear in the document length instead of quadratic.
+_SLICE = 64
 
 
 def words(value):
@@ -46,51 +41,39 @@ def bio_tokens(worded):
 
 
 def tags_by_token(tagged):
-    """Tags looked up by token text, where the last tag of a text wins."""
-    def last_tag(item):
-        same = F.filter(tagged, lambda other: other["token"] == item["token"])
-        return F.struct(item["token"].alias("token"), F.element_at(same, -1)["tag"].alias("tag"))
+    """Tags looked up by token text, where the last tag of a text wins.
+
+    ``tagged`` is SQL text, as a rule a column name.
+    """
+    last = "element_at(filter(all, other -> other.token = item.token), -1).tag"
+    body = f"transform(all, item -> struct(item.token as token, {last} as tag))"
+    return F.expr(let("all", tagged, body))
+
+
+def _running_sums(values, start):
+    """Sums in front of each value, from ``start``."""
+    grown = (f"aggregate({values}, array({start}), "
+             "(sums, value) -> array_append(sums, element_at(sums, -1) + value))")
+    return f"slice({grown}, 1, size({values}))"
+
 
-    return F.transform(tagged, last_tag)
+def running_starts_text(tokens):
+    sliced = (f"transform(sequence(0, cast((size(widths) - 1) div {_SLICE} as int)), "
+              f"i -> slice(widths, i * {_SLICE} + 1, {_SLICE}))")
+    totals = "transform(slices, s -> aggregate(s, 0, (sum, width) -> sum + width))"
+    starts = f"flatten(transform(slices, (s, i) -> {_running_sums('s', 'bases[i]')}))"
+    return let("widths", f"transform({tokens}, token -> length(token) + 1)",
+               let("slices", sliced,
+                   let("totals", totals, let("bases", _running_sums("totals", "0"), starts))))
 
 
 def running_starts(tokens):
     """Start offset of every token in the blank-joined text.
 
     Exact for any length and without a shuffle: offsets of whole slices are
-    summed first, then those inside each slice.
+    summed first, then those inside each slice. ``tokens`` is SQL text.
     """
-    widths = F.transform(tokens, lambda token: F.length(token) + 1)
-    last = F.floor((F.size(tokens) - 1) / F.lit(_SLICE)).cast("int")
-    slices = F.transform(F.sequence(F.lit(0), last),
-                         lambda i: F.slice(widths, i * _SLICE + 1, _SLICE))
-
-    def sums(values, start):
-        grown = F.aggregate(
-            values, F.array(start),
-            lambda acc, width: F.array_append(acc, F.element_at(acc, -1) + width))
-        return F.slice(grown, F.lit(1), F.size(values))
-
-    totals = F.transform(slices, lambda s: F.aggregate(s, F.lit(0), lambda a, w: a + w))
-    bases = sums(totals, F.lit(0))
-    starts = F.flatten(F.transform(
-        F.arrays_zip(slices.alias("widths"), bases.alias("base")),
-        lambda z: sums(z["widths"], z["base"])))
-    return F.when(F.size(tokens) > 0, starts).otherwise(F.array().cast("array<int>"))
-
-
-def short_starts(tokens):
-    """The same offsets for short rows, in a single pass."""
-    grown = F.aggregate(
-        tokens, F.array(F.lit(0)),
-        lambda acc, token: F.array_append(acc, F.element_at(acc, -1) + F.length(token) + 1))
-    return F.slice(grown, F.lit(1), F.size(tokens))
-
-
-def starts_in_raw_text(worded):
-    """Offsets are those of single-blank joins even when the text keeps raw
-    values; see ``text_mode`` of the labelling operator."""
-    return short_starts(F.flatten(F.transform(worded, lambda part: part["words"])))
+    return F.expr(running_starts_text(tokens))
 
 
 def annotations(tagged, starts):

@@ -1,33 +1,38 @@
-"""The order in which the labels of an address are written, and its disturbance."""
+"""The order in which the labels of an address are written, and its disturbance.
+
+``order``, ``key``, ``fields`` and ``pairs`` are SQL text, as a rule column names.
+"""
 
 from pyspark.sql import functions as F
 
 from labelweave import fixed
-from labelweave.functions import draws
+from labelweave.functions.binding import let
+from labelweave.functions.draws import hits_text, pick_text, uniform_text
+
+
+def _list_text(labels):
+    return "array(" + ", ".join(f"'{label}'" for label in labels) + ")"
 
 
 def template(key, profile="standard", seed=0):
     """One of the orders of a profile, each equally likely."""
     orders = fixed.ORDERS[profile]
-    choices = F.array(*[F.array(*[F.lit(label) for label in order]) for order in orders])
-    return F.get(choices, draws.pick(key, "template", len(orders), seed=seed))
+    choices = ", ".join(_list_text(order) for order in orders)
+    return F.expr(f"get(array({choices}), {pick_text(key, 'template', len(orders), seed=seed)})")
 
 
 def fixed_template(number=0, profile="standard"):
-    return F.array(*[F.lit(label) for label in fixed.ORDERS[profile][number]])
+    return F.expr(_list_text(fixed.ORDERS[profile][number]))
 
 
 def shuffled(order, key, probability, seed=0):
     """The whole order permuted, with the given probability."""
     if probability <= 0:
-        return order
-
-    def ranked(label, index):
-        return F.struct(draws.uniform(key, "permute", index, seed).alias("rank"),
-                        index.alias("index"), label.alias("label"))
-
-    permuted = F.transform(F.array_sort(F.transform(order, ranked)), lambda x: x["label"])
-    return F.when(draws.uniform(key, "shuffle", 0, seed) < probability, permuted).otherwise(order)
+        return F.col(order)
+    ranked = (f"transform({order}, (label, i) -> struct("
+              f"{uniform_text(key, 'permute', 'i', seed)} as rank, i as place, label as label))")
+    return F.expr(f"if({uniform_text(key, 'shuffle', seed=seed)} < {probability}D, "
+                  f"array_sort({ranked}).label, {order})")
 
 
 def duplicated(order, key, probability, profile="standard", seed=0):
@@ -35,38 +40,37 @@ def duplicated(order, key, probability, profile="standard", seed=0):
     and the order stays within its size limit."""
     room = fixed.MAX_ORDER_SIZE - min(len(o) for o in fixed.ORDERS[profile])
     if probability <= 0 or room <= 0:
-        return order
-    wanted = draws.hits_in_a_row(key, "duplicate", probability, room, seed)
-    count = F.least(wanted, F.lit(fixed.MAX_ORDER_SIZE) - F.size(order))
-
-    def add_one(labels, step):
-        source = draws.pick(key, "duplicate_from", F.size(labels), step, seed)
-        target = draws.pick(key, "duplicate_to", F.size(labels) + 1, step, seed)
-        return F.array_insert(labels, target + 1, F.get(labels, source))
-
-    grown = F.aggregate(F.sequence(F.lit(1), count), order, add_one)
-    return F.when(count > 0, grown).otherwise(order)
+        return F.col(order)
+    wanted = hits_text(key, "duplicate", probability, room, seed)
+    count = f"least({wanted}, {fixed.MAX_ORDER_SIZE} - size({order}))"
+    source = pick_text(key, "duplicate_from", "size(labels)", "step", seed)
+    target = pick_text(key, "duplicate_to", "size(labels) + 1", "step", seed)
+    grown = (f"aggregate(sequence(1, n), {order}, (labels, step) -> "
+             f"array_insert(labels, {target} + 1, get(labels, {source})))")
+    return F.expr(let("n", count, f"if(n > 0, {grown}, {order})"))
 
 
 def shortened(order, key, probability, seed=0):
     """Random entries dropped, while draws keep hitting and one entry is left."""
     if probability <= 0:
-        return order
-    wanted = draws.hits_in_a_row(key, "delete", probability, fixed.MAX_ORDER_SIZE - 1, seed)
-    count = F.least(wanted, F.size(order) - 1)
-
-    def drop_one(labels, step):
-        at = draws.pick(key, "delete_at", F.size(labels), step, seed)
-        return F.concat(F.slice(labels, F.lit(1), at),
-                        F.slice(labels, at + 2, F.size(labels)))
-
-    cut = F.aggregate(F.sequence(F.lit(1), count), order, drop_one)
-    return F.when(count > 0, cut).otherwise(order)
+        return F.col(order)
+    wanted = hits_text(key, "delete", probability, fixed.MAX_ORDER_SIZE - 1, seed)
+    at = pick_text(key, "delete_at", "size(labels)", "step", seed)
+    kept = let("at", at, "concat(slice(labels, 1, at), slice(labels, at + 2, size(labels)))")
+    cut = f"aggregate(sequence(1, n), {order}, (labels, step) -> {kept})"
+    return F.expr(let("n", f"least({wanted}, size({order}) - 1)", f"if(n > 0, {cut}, {order})"))
 
 
 def present(order, fields):
     """The labels of an order that the record has."""
-    return F.filter(order, lambda label: F.map_contains_key(fields, label))
+    return F.expr(let("f", fields, f"filter({order}, label -> map_contains_key(f, label))"))
+
+
+def parts(order, fields):
+    """The (label, value) parts of a record in the given order, absent ones left out."""
+    found = (f"transform(filter({order}, label -> map_contains_key(f, label)), "
+             "label -> struct(label as label, f[label] as value))")
+    return F.expr(let("f", fields, found))
 
 
 def first_matches(order, pairs):
@@ -74,7 +78,6 @@ def first_matches(order, pairs):
 
     Pairs whose label is not in the order are left out.
     """
-    found = F.transform(
-        order,
-        lambda label: F.get(F.filter(pairs, lambda p: F.lower(p["label"]) == label), F.lit(0)))
-    return F.filter(found, lambda pair: pair.isNotNull())
+    found = "get(filter(p, pair -> lower(pair.label) = label), 0)"
+    listed = f"transform({order}, label -> {found})"
+    return F.expr(let("p", pairs, f"filter({listed}, pair -> pair is not null)"))

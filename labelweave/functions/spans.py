@@ -2,62 +2,50 @@
 
 from pyspark.sql import functions as F
 
+from labelweave.functions.binding import let
+from labelweave.functions.labels import running_starts_text
 
-def _is_open(tag):
-    return F.substring(tag, 1, 2) == "B-"
+_OPENS = "substring({tag}, 1, 2) = 'B-'"
+_CONTINUES = "substring({tag}, 1, 2) = 'I-'"
 
 
-def _continues(tag):
-    return F.substring(tag, 1, 2) == "I-"
-
-
-def _kind(tag):
-    return F.when(_is_open(tag) | _continues(tag), F.substring(tag, 3, 1_000_000))
-
-
-def chunk_starts(tags, mode="glue"):
-    """Indices at which a chunk opens.
+def _opens_chunk(mode):
+    """Whether item ``i`` opens a chunk.
 
     ``glue`` lets a continuing tag join whatever chunk came last, and drops it
     where none is open. ``strict`` opens a new chunk when the label changes or
     the tag before was outside.
     """
-    indices = F.sequence(F.lit(1), F.size(tags))
+    opened = _OPENS.format(tag="item.tag")
+    if mode == "glue":
+        return opened
+    before = "get(items, i - 1).tag"
+    joins = (f"coalesce(({_OPENS.format(tag=before)} or {_CONTINUES.format(tag=before)}) "
+             f"and substring({before}, 3) = substring(item.tag, 3), false)")
+    return f"({opened} or ({_CONTINUES.format(tag='item.tag')} and not {joins}))"
 
-    def opens(index):
-        tag = F.element_at(tags, index)
-        if mode == "glue":
-            return _is_open(tag)
-        before = F.get(tags, index - 2)
-        changed = F.coalesce(_kind(before) != _kind(tag), F.lit(True))
-        return _is_open(tag) | (_continues(tag) & changed)
 
-    found = F.filter(indices, opens)
-    return F.when(F.size(tags) > 0, found).otherwise(F.array().cast("array<int>"))
+def chunks(tokens, mode="glue"):
+    """``(label, chunk, begin, end)`` of every chunk of an array of (token, tag).
 
-
-def chunks(items, tags, starts):
-    """``(label, chunk, begin, end)`` of every chunk, in order.
-
-    ``items`` is an array of structs with ``token``, ``tag``, ``begin`` and
-    ``end``. A chunk takes the slice up to the next start, so the work is
-    linear in the number of tokens.
+    A chunk takes the slice up to the next start, so the work is linear in the
+    number of tokens. ``tokens`` is SQL text, as a rule a column name.
     """
-    count = F.size(items)
-
-    def chunk(start, number):
-        following = F.coalesce(F.get(starts, number + 1), count + 1)
-        piece = F.filter(F.slice(items, start, following - start),
-                         lambda item: _is_open(item["tag"]) | _continues(item["tag"]))
-        return F.struct(
-            F.substring(F.element_at(tags, start), 3, 1_000_000).alias("label"),
-            F.array_join(F.transform(piece, lambda item: item["token"]), " ").alias("chunk"),
-            F.element_at(piece, 1)["begin"].alias("begin"),
-            F.element_at(piece, -1)["end"].alias("end"))
-
-    return F.transform(starts, chunk)
+    items = let("starts", running_starts_text("listed.token"),
+                "transform(listed, (t, i) -> struct(t.token as token, t.tag as tag, "
+                "starts[i] as begin, starts[i] + length(t.token) - 1 as end))")
+    firsts = (f"filter(transform(items, (item, i) -> if({_opens_chunk(mode)}, i, null)), "
+              "i -> i is not null)")
+    inside = f"{_OPENS.format(tag='x.tag')} or {_CONTINUES.format(tag='x.tag')}"
+    length = "coalesce(get(firsts, k + 1), size(items)) - first"
+    piece = f"filter(slice(items, first + 1, {length}), x -> {inside})"
+    chunk = ("struct(substring(items[first].tag, 3) as label, "
+             "array_join(piece.token, ' ') as chunk, "
+             "items[first].begin as begin, element_at(piece, -1).end as end)")
+    found = f"transform(firsts, (first, k) -> {let('piece', piece, chunk)})"
+    return F.expr(let("listed", tokens, let("items", items, let("firsts", firsts, found))))
 
 
 def last_chunk_of(found, label):
     """The last chunk of a label, NULL where there is none."""
-    return F.get(F.reverse(F.filter(found, lambda c: c["label"] == label)), F.lit(0))["chunk"]
+    return F.expr(f"try_element_at(filter({found}, c -> c.label = '{label}'), -1).chunk")

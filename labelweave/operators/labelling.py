@@ -14,13 +14,16 @@ def with_order(df, key, augmentation=PRESETS["none"], template=None, name="order
     many of them touch labels the record does not have.
     """
     a = augmentation
-    key = F.col(key)
     order = (ox.template(key, a.profile, a.seed) if template is None
              else ox.fixed_template(template, a.profile))
     df = df.withColumn(name, order)
-    df = df.withColumn(name, ox.shuffled(F.col(name), key, a.shuffle, a.seed))
-    df = df.withColumn(name, ox.duplicated(F.col(name), key, a.duplicate, a.profile, a.seed))
-    return df.withColumn(name, ox.shortened(F.col(name), key, a.delete, a.seed))
+    if a.shuffle > 0:
+        df = df.withColumn(name, ox.shuffled(name, key, a.shuffle, a.seed))
+    if a.duplicate > 0:
+        df = df.withColumn(name, ox.duplicated(name, key, a.duplicate, a.profile, a.seed))
+    if a.delete > 0:
+        df = df.withColumn(name, ox.shortened(name, key, a.delete, a.seed))
+    return df
 
 
 def label_records(df, fields="fields", order="order", tag_mode="position", text_mode="tokens"):
@@ -29,38 +32,29 @@ def label_records(df, fields="fields", order="order", tag_mode="position", text_
     ``tag_mode="by_token"`` looks tags up by token text, the last one winning.
     ``text_mode="raw"`` joins the raw values, so doubled blanks survive.
     """
-    df = df.withColumn("_parts", lx.ordered_parts(ox.present(F.col(order), F.col(fields)),
-                                                  F.col(fields)))
-    df = df.withColumn("_worded", lx.part_words(F.col("_parts")))
-    df = df.withColumn("tokens", lx.bio_tokens(F.col("_worded")))
+    df = df.withColumn("_parts", ox.parts(order, fields))
+    df = df.withColumn("tokens", lx.bio_tokens(lx.part_words(F.col("_parts"))))
     if tag_mode == "by_token":
-        df = df.withColumn("tokens", lx.tags_by_token(F.col("tokens")))
+        df = df.withColumn("tokens", lx.tags_by_token("tokens"))
     text = (lx.address_text(F.col("_parts")) if text_mode == "raw"
-            else lx.token_text(F.transform("tokens", lambda t: t["token"])))
-    return df.withColumn("text", text).drop("_parts", "_worded")
+            else lx.token_text(F.col("tokens.token")))
+    return df.withColumn("text", text).drop("_parts")
 
 
 def label_pairs(df, pairs="pairs", order="order", tag_mode="by_token"):
     """The list form: per label of the order the first pair of that label."""
-    df = df.withColumn("_parts", ox.first_matches(F.col(order), F.col(pairs)))
+    df = df.withColumn("_parts", ox.first_matches(order, pairs))
     df = df.withColumn("text", lx.address_text(F.col("_parts")))
     df = df.withColumn("tokens", lx.bio_tokens(lx.part_words(F.col("_parts")))).drop("_parts")
     if tag_mode == "by_token":
-        df = df.withColumn("tokens", lx.tags_by_token(F.col("tokens")))
+        df = df.withColumn("tokens", lx.tags_by_token("tokens"))
     return df
 
 
-def annotate(df, tokens="tokens", name="label", long_rows=False):
-    """Annotation structs with running offsets.
-
-    ``long_rows`` takes the sliced prefix sums, for rows of thousands of tokens.
-    """
-    texts = F.transform(tokens, lambda t: t["token"])
-    starts = lx.running_starts if long_rows else lx.short_starts
-    df = df.withColumn("_texts", texts)
-    df = df.withColumn("_starts", starts(F.col("_texts")))
-    return (df.withColumn(name, lx.annotations(F.col(tokens), F.col("_starts")))
-            .drop("_texts", "_starts"))
+def annotate(df, tokens="tokens", name="label"):
+    """Annotation structs with running offsets, for rows of any length."""
+    df = df.withColumn("_starts", lx.running_starts(f"{tokens}.token"))
+    return df.withColumn(name, lx.annotations(F.col(tokens), F.col("_starts"))).drop("_starts")
 
 
 def cast_label(df, name="label"):

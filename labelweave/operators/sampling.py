@@ -10,7 +10,7 @@ from labelweave.session import materialise
 
 def with_split(df, key, share=fixed.TRAIN_SHARE, seed=0, name="split"):
     """``train`` or ``test`` per row, decided by the row's own draw."""
-    hit = draws.uniform(F.col(key), "split", 0, seed) < share
+    hit = draws.uniform(key, "split", seed=seed) < share
     return df.withColumn(name, F.when(hit, "train").otherwise("test"))
 
 
@@ -18,7 +18,7 @@ def with_validation(df, key, share=fixed.TRAIN_SHARE, validation=fixed.VALIDATIO
                     seed=0, name="split"):
     """A third value: part of the training rows is held out for validation."""
     df = with_split(df, key, share, seed, name)
-    held_out = draws.uniform(F.col(key), "validation", 0, seed) < validation
+    held_out = draws.uniform(key, "validation", seed=seed) < validation
     return df.withColumn(name, F.when((F.col(name) == "train") & held_out, "validation")
                          .otherwise(F.col(name)))
 
@@ -33,7 +33,7 @@ def sample_rows(df, key, fraction, seed=0):
 
     The filter depends on the key only, so Catalyst moves it below projections.
     """
-    return df.filter(draws.uniform(F.col(key), "sample", 0, seed) < fraction)
+    return df.filter(draws.uniform(key, "sample", seed=seed) < fraction)
 
 
 def take_first(df, key, count):
@@ -69,5 +69,5 @@ def with_row_index(df, order, by=(), name="row_index"):
 
 def shuffle_rows(df, key, seed=0, name="position"):
     """Rows in random order, as a position per row."""
-    drawn = df.withColumn("_draw", draws.uniform(F.col(key), "row_order", 0, seed))
+    drawn = df.withColumn("_draw", draws.uniform(key, "row_order", seed=seed))
     return with_row_index(drawn, ["_draw", key], name=name).drop("_draw")

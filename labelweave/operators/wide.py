@@ -3,24 +3,12 @@
 from pyspark.sql import functions as F
 
 from labelweave import fixed
-from labelweave.functions import labels as lx
 from labelweave.functions import spans as sx
 
 
 def with_chunks(df, tokens="tokens", mode="glue", name="chunks"):
     """Adds the list of chunks of an array of (token, tag) structs."""
-    df = df.withColumn("_texts", F.transform(tokens, lambda t: t["token"]))
-    df = df.withColumn("_starts", lx.running_starts(F.col("_texts")))
-    df = df.withColumn("_items", F.transform(
-        F.arrays_zip(F.col(tokens).alias("t"), F.col("_starts").alias("start")),
-        lambda z: F.struct(
-            z["t"]["token"].alias("token"), z["t"]["tag"].alias("tag"),
-            z["start"].alias("begin"),
-            (z["start"] + F.length(z["t"]["token"]) - 1).alias("end"))))
-    df = df.withColumn("_tags", F.transform(tokens, lambda t: t["tag"]))
-    df = df.withColumn("_opens", sx.chunk_starts(F.col("_tags"), mode))
-    return (df.withColumn(name, sx.chunks(F.col("_items"), F.col("_tags"), F.col("_opens")))
-            .drop("_texts", "_starts", "_items", "_tags", "_opens"))
+    return df.withColumn(name, sx.chunks(tokens, mode))
 
 
 def chunk_rows(df, *keys, chunks="chunks"):
@@ -32,5 +20,5 @@ def chunk_rows(df, *keys, chunks="chunks"):
 
 def wide_record(df, *keys, text="text", chunks="chunks", labels=fixed.LABELS):
     """One column per label; a repeated label keeps its last chunk."""
-    columns = [sx.last_chunk_of(F.col(chunks), label).alias(label) for label in labels]
+    columns = [sx.last_chunk_of(chunks, label).alias(label) for label in labels]
     return df.select(*keys, text, *columns)

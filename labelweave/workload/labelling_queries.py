@@ -286,7 +286,7 @@ from parts""")
 def a6(spark, sf_dir):
     base = rec.with_fields(views.addresses(spark, sf_dir))
     ordered = lab.with_order(base, "key", template=0)
-    return _order_rows(ordered.select("key", ox.present(F.col("order"), F.col("fields"))
+    return _order_rows(ordered.select("key", ox.present("order", "fields")
                                       .alias("order")))
 
 
@@ -305,8 +305,9 @@ def a7(spark, sf_dir):
         ("ROAD", F.col("road")), ("city", F.col("city")), ("road", F.lit("second road")),
         ("planet", F.lit("earth")), ("city", F.lit("second city")),
         ("house_number", F.col("house_number"))])
-    matched = ox.first_matches(ox.fixed_template(0), pairs)
-    return a.select("key", matched.alias("pairs")).select("key", F.inline("pairs"))
+    listed = a.select("key", pairs.alias("pairs"), ox.fixed_template(0).alias("order"))
+    matched = ox.first_matches("order", "pairs")
+    return listed.select("key", matched.alias("pairs")).select("key", F.inline("pairs"))
 
 
 @query("a8_fixed_order_concat", f"""with {sql.ADDR}
@@ -385,7 +386,7 @@ def t5_long(spark, sf_dir):
     tagged = F.transform(lx.words(F.col("text")), lambda w: F.struct(
         w.alias("token"), F.lit(fixed.OUTSIDE_TAG).alias("tag")))
     docs = d.select(F.col("doc_id").alias("key"), tagged.alias("tokens"))
-    return lab.annotation_rows(lab.annotate(docs, long_rows=True), "key")
+    return lab.annotation_rows(lab.annotate(docs), "key")
 
 
 @query("t6_annotation_cast", sql.labelled(sql.OFFSETS) + f"""

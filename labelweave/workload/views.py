@@ -61,21 +61,17 @@ ERROR_SHARE = 0.1
 def predicted_rows(spark, sf_dir):
     """Token rows with a prediction that misses a tenth of the tags."""
     rows = tag_rows(spark, sf_dir)
-    wrong = draws.uniform(F.col("key"), "err", F.col("pos")) < ERROR_SHARE
+    wrong = draws.uniform("key", "err", "pos") < ERROR_SHARE
     return rows.select("key", "pos", "token", F.col("tag").alias("target"),
                        F.when(wrong, "O").otherwise(F.col("tag")).alias("prediction"))
 
 
 def predicted_tokens(spark, sf_dir):
     """The same, as an array of (token, predicted tag) per address."""
-    base = plain_labelled(spark, sf_dir)
-
-    def predicted(item, pos):
-        wrong = draws.uniform(F.col("key"), "err", pos) < ERROR_SHARE
-        return F.struct(item["token"].alias("token"),
-                        F.when(wrong, "O").otherwise(item["tag"]).alias("tag"))
-
-    return base.select("key", "text", F.transform("tokens", predicted).alias("tokens"))
+    wrong = f"{draws.uniform_text('key', 'err', 'pos')} < {ERROR_SHARE}"
+    tagged = F.expr(f"transform(tokens, (t, pos) -> struct(t.token as token, "
+                    f"if({wrong}, 'O', t.tag) as tag))")
+    return plain_labelled(spark, sf_dir).select("key", "text", tagged.alias("tokens"))
 
 
 def messages(spark, sf_dir):
