@@ -5,6 +5,7 @@ import string
 from pyspark.sql import functions as F
 
 from labelweave import fixed
+from labelweave.functions.binding import let
 
 
 # --- cleaning of messages -----------------------------------------------------
@@ -19,10 +20,12 @@ def drop_www(text):
 
 def expand_negations(text):
     """Contracted negations written out. No expansion holds an apostrophe, so
-    the replacements cannot meet each other and their order is free."""
+    the replacements cannot meet each other and their order is free. Every
+    contraction ends alike; a text without that ending is passed on as it is."""
+    expanded = text
     for short, full in fixed.NEGATIONS.items():
-        text = F.regexp_replace(text, rf"\b{short}\b", full)
-    return text
+        expanded = F.regexp_replace(expanded, rf"\b{short}\b", full)
+    return F.when(F.contains(text, F.lit("n't")), expanded).otherwise(text)
 
 
 def letters_only(text):
@@ -40,11 +43,15 @@ def message_words(text):
 
 
 def ngrams(words, n):
-    """Neighbouring words joined by blanks; none for a row shorter than ``n``."""
-    count = F.size(words) - (n - 1)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-                        lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(count > 0, grams).otherwise(F.array().cast("array<string>"))
+    """Neighbouring words joined by blanks; none for a row shorter than ``n``.
+
+    ``words`` is SQL text, as a rule a column name.
+    """
+    if n == 1:
+        return F.expr(words)
+    rest = ", ".join(f"w[i + {step}]" for step in range(1, n))
+    listed = f"transform(slice(w, 1, size(w) - {n - 1}), (x, i) -> concat_ws(' ', x, {rest}))"
+    return F.expr(let("w", words, f"if(size(w) >= {n}, {listed}, cast(array() as array<string>))"))
 
 
 # --- documents, sentences and tokens ------------------------------------------

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from labelweave.config import PRESETS
+from labelweave.functions.binding import unfold
 from labelweave.functions import labels as lx
 from labelweave.functions import orders as ox
 
@@ -64,9 +65,8 @@ def cast_label(df, name="label"):
 
 def annotation_rows(df, *keys, label="label"):
     """One row per annotation: position, token, tag and offsets."""
-    listed = df.select(*keys, F.posexplode(label).alias("pos", "a"))
-    return listed.select(*keys, F.col("pos").cast("bigint").alias("pos"),
-                         F.col("a.metadata.word").alias("token"),
+    listed = unfold(df, keys, label, value="a")
+    return listed.select(*keys, "pos", F.col("a.metadata.word").alias("token"),
                          F.col("a.result").alias("tag"),
                          F.col("a.begin").cast("bigint").alias("begin"),
                          F.col("a.end").cast("bigint").alias("end"))
@@ -74,9 +74,8 @@ def annotation_rows(df, *keys, label="label"):
 
 def token_rows(df, *keys, tokens="tokens"):
     """One row per labelled token."""
-    listed = df.select(*keys, F.posexplode(tokens).alias("pos", "t"))
-    return listed.select(*keys, F.col("pos").cast("bigint").alias("pos"),
-                         F.col("t.token").alias("token"), F.col("t.tag").alias("tag"))
+    listed = unfold(df, keys, tokens, value="t")
+    return listed.select(*keys, "pos", "t.token", "t.tag")
 
 
 def plain_format(df, columns, display):

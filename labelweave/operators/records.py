@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.functions import fields as fx
+from labelweave.functions.binding import unfold
 
 
 def positional_records(df, line="value"):
@@ -91,5 +92,5 @@ def with_pairs(df, labels=fixed.LABELS, name="pairs"):
 
 def unpivot_fields(df, key, labels=fixed.LABELS):
     """One row per present field."""
-    listed = with_pairs(df, labels)
-    return listed.select(key, F.inline("pairs"))
+    listed = unfold(with_pairs(df, labels), [key], "pairs")
+    return listed.select(key, "item.label", "item.value")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from labelweave import fixed
 from labelweave.functions import text as tx
 from labelweave.operators.sampling import with_row_index
+from labelweave.session import materialise
 
 SIZES = tuple(range(1, fixed.MAX_NGRAM + 1))
 
@@ -26,7 +27,7 @@ def ngram_rows(df, *keys, words="words", sizes=SIZES, distinct=False):
     ``distinct`` keeps each term once per row, before anything is moved.
     """
     def grams(n):
-        found = tx.ngrams(F.col(words), n)
+        found = tx.ngrams(words, n)
         found = F.array_distinct(found) if distinct else found
         return F.transform(found, lambda term, i: F.struct(
             F.lit(n).cast("bigint").alias("n"), i.cast("bigint").alias("pos"),
@@ -97,8 +98,12 @@ def build_stages(counts, label="sentiment"):
 
 
 def fit_classifier(df, label="sentiment", size=fixed.VOCABULARY_SIZE):
-    """``df`` has ``text`` and the label column."""
-    cleaned = with_clean_text(df)
+    """``df`` has ``text`` and the label column.
+
+    The cleaned text is written once: vocabularies, document frequencies,
+    label counts and the regression all read it.
+    """
+    cleaned = materialise(with_clean_text(df).select("tweet", label), "cleaned")
     return Pipeline(stages=build_stages(_fitted_counts(cleaned, size), label)).fit(cleaned)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.functions import text as tx
+from labelweave.functions.binding import unfold
 from labelweave.operators.sampling import with_row_index
 
 
@@ -21,8 +22,7 @@ def single_sentence_rows(df, sentences="sentences"):
 
 
 def sentence_rows(df, *keys, sentences="sentences"):
-    rows = df.select(*keys, F.posexplode(sentences).alias("sentence_no", "sentence"))
-    return rows.withColumn("sentence_no", F.col("sentence_no").cast("bigint"))
+    return unfold(df, keys, sentences, "sentence_no", "sentence")
 
 
 def sentence_token_rows(df, *keys, sentence="sentence"):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.functions import spans as sx
+from labelweave.functions.binding import unfold
 
 
 def with_chunks(df, tokens="tokens", mode="glue", name="chunks"):
@@ -12,9 +13,8 @@ def with_chunks(df, tokens="tokens", mode="glue", name="chunks"):
 
 
 def chunk_rows(df, *keys, chunks="chunks"):
-    listed = df.select(*keys, F.posexplode(chunks).alias("chunk_no", "c"))
-    return listed.select(*keys, F.col("chunk_no").cast("bigint").alias("chunk_no"), "c.label",
-                         "c.chunk", F.col("c.begin").cast("bigint").alias("begin"),
+    listed = unfold(df, keys, chunks, "chunk_no", "c")
+    return listed.select(*keys, "chunk_no", "c.label", "c.chunk", F.col("c.begin").cast("bigint").alias("begin"),
                          F.col("c.end").cast("bigint").alias("end"))
 
 

@@ -52,3 +52,16 @@ def materialise(df, name):
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(scan):
+    """A scan of fewer splits than cores, dealt out to all cores.
+
+    A table of a few row groups would otherwise keep most cores idle through
+    costly row-wise work. A scan of many splits is returned untouched, so no
+    large table is ever moved by this. Meant for plain scans.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)

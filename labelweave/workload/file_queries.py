@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.config import PRESETS
+from labelweave.functions.binding import unfold
 from labelweave.functions import labels as lx
 from labelweave.operators import labelling as lab
 from labelweave.operators import records as rec
@@ -197,7 +198,8 @@ def s9(spark, sf_dir):
     a.select(_geocoder_json(a).alias("value")).write.text(path)
     pairs = described.read_geocoder_lines(spark, path, files="*.txt").select("pairs")
     post = F.expr("filter(pairs, p -> p.label = 'postcode')[0].value")
-    return pairs.select(post.alias("postcode"), F.inline("pairs"))
+    rows = unfold(pairs.withColumn("postcode", post), ["postcode"], "pairs")
+    return rows.select("postcode", "item.label", "item.value")
 
 
 _LITERAL = "70 york street toronto ontario Canada l2n 8f4"
@@ -310,8 +312,8 @@ def k1(spark, sf_dir):
     annotated = with_split(lab.annotate(views.plain_labelled(spark, sf_dir)), "key")
     sinks.write_corpus(annotated, path)
     read = corpora.read_annotated(spark, path)
-    rows = read.select("text", "split", F.posexplode("label").alias("pos", "a"))
-    return rows.select("text", "split", F.col("pos").cast("bigint").alias("pos"), "a.result",
+    rows = unfold(read, ["text", "split"], "label", value="a")
+    return rows.select("text", "split", "pos", "a.result",
                        F.col("a.metadata.word").alias("word"),
                        F.col("a.begin").cast("bigint").alias("begin"),
                        F.col("a.end").cast("bigint").alias("end"),
@@ -472,7 +474,8 @@ _TAG_COUNTS = "select token, tag, count(*) as n from tokens {where} group by tok
 
 
 def _tag_counts(docs):
-    return docs.select(F.inline("tokens")).groupBy("token", "tag").agg(
+    rows = unfold(docs, [], "tokens").select("item.token", "item.tag")
+    return rows.groupBy("token", "tag").agg(
         F.count(F.lit(1)).alias("n"))
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.config import Augmentation, PRESETS
+from labelweave.functions.binding import unfold
 from labelweave.functions import fields as fx
 from labelweave.functions import labels as lx
 from labelweave.functions import orders as ox
@@ -226,8 +227,7 @@ def n13(spark, sf_dir):
 # --- A: ordering and augmentation ------------------------------------------------
 
 def _order_rows(df):
-    return df.select("key", F.posexplode("order").alias("pos", "label")).select(
-        "key", F.col("pos").cast("bigint").alias("pos"), "label")
+    return unfold(df, ["key"], "order", value="label")
 
 
 def _ordered(spark, sf_dir, **settings):
@@ -307,7 +307,7 @@ def a7(spark, sf_dir):
         ("house_number", F.col("house_number"))])
     listed = a.select("key", pairs.alias("pairs"), ox.fixed_template(0).alias("order"))
     matched = ox.first_matches("order", "pairs")
-    return listed.select("key", matched.alias("pairs")).select("key", F.inline("pairs"))
+    return listed.select("key", F.inline(matched))
 
 
 @query("a8_fixed_order_concat", f"""with {sql.ADDR}
@@ -382,7 +382,7 @@ _DOC_TOKENS = """tokens as (
 
 @query("t5_long_document_offsets", f"with {_DOC_TOKENS}, {sql.OFFSETS} " + _ANNOTATED)
 def t5_long(spark, sf_dir):
-    d = views.table(spark, sf_dir, "documents")
+    d = views.wide_table(spark, sf_dir, "documents", "doc_id", "text")
     tagged = F.transform(lx.words(F.col("text")), lambda w: F.struct(
         w.alias("token"), F.lit(fixed.OUTSIDE_TAG).alias("tag")))
     docs = d.select(F.col("doc_id").alias("key"), tagged.alias("tokens"))
@@ -396,9 +396,9 @@ select key, cast(pos as bigint) as pos, '{fixed.ANNOTATION_TYPE}' as annotator_t
 from offsets""")
 def t6(spark, sf_dir):
     cast = lab.cast_label(lab.annotate(views.plain_labelled(spark, sf_dir)))
-    rows = cast.select("key", F.posexplode("label").alias("pos", "a"))
+    rows = unfold(cast, ["key"], "label", value="a")
     return rows.select(
-        "key", F.col("pos").cast("bigint").alias("pos"),
+        "key", "pos",
         F.col("a.annotatorType").alias("annotator_type"),
         F.col("a.begin").cast("bigint").alias("begin"), F.col("a.end").cast("bigint").alias("end"),
         F.col("a.result").alias("result"), F.col("a.metadata")["word"].alias("word"),
@@ -433,8 +433,7 @@ select key, cast(row_number() over (partition by key order by ord, i) - 1 as big
 from (select key, ord, unnest(w) as word, unnest(range(0, len(w))) as i from split
       where value is not null)""")
 def t8(spark, sf_dir):
-    return _plain(spark, sf_dir).select("key", F.posexplode("words").alias("pos", "word")).select(
-        "key", F.col("pos").cast("bigint").alias("pos"), "word")
+    return unfold(_plain(spark, sf_dir), ["key"], "words", value="word")
 
 
 @query("t9_token_count_per_field", _PLAIN + """
@@ -455,8 +454,7 @@ from (select key, ord, unnest(range(0, len(w))) as i,
 
 @query("t10_tags_from_counts", _PLAIN + _PLAIN_TAGS)
 def t10(spark, sf_dir):
-    return _plain(spark, sf_dir).select("key", F.posexplode("tags").alias("pos", "tag")).select(
-        "key", F.col("pos").cast("bigint").alias("pos"), "tag")
+    return unfold(_plain(spark, sf_dir), ["key"], "tags", value="tag")
 
 
 @query("t11_label_text", _PLAIN + f""", tags as ({_PLAIN_TAGS})

@@ -150,7 +150,7 @@ MESSAGES = """messages as (
                         doc_id, ' www.example.com/', doc_id, ' It''s not') as text
   from documents)"""
 
-DOCUMENT_WORDS = f"""docwords as (
+DOCUMENT_WORDS = f"""docwords as materialized (
   select doc_id, regexp_split_to_array(lower({cleaned('text')}), '\\s') as w from documents)"""
 
 

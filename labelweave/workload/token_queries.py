@@ -32,10 +32,10 @@ turns as (
 select conv_id, turn, cast(pos as bigint) as pos, token, coalesce(pos_tag, 'NN') as pos_tag
 from turns left join lexicon using (token)""")
 def t13(spark, sf_dir):
-    d = views.table(spark, sf_dir, "documents")
+    d = views.wide_table(spark, sf_dir, "documents", "text", "lang")
     training = d.select(F.explode(tx.tokens(F.col("text"))).alias("token"),
                         F.col("lang").alias("tag"))
-    c = views.table(spark, sf_dir, "conversations")
+    c = views.wide_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     rows = tok.sentence_token_rows(c, "conv_id", "turn", sentence="text")
     return tok.apply_lexicon(rows, tok.fit_lexicon(training)).select(
         "conv_id", "turn", "pos", "token", "pos_tag")
@@ -59,7 +59,7 @@ _SENTENCES = f"""sentences as (
 
 
 def _sentence_rows(spark, sf_dir):
-    d = tok.with_sentences(views.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = tok.with_sentences(views.wide_table(spark, sf_dir, "documents", "doc_id", "text"))
     return tok.sentence_rows(d, "doc_id")
 
 
@@ -85,7 +85,7 @@ union all
 select conv_id * 1000 + turn, text from conversations
 where len(regexp_extract_all(text, {_SENTENCE})) <= 1""")
 def t17(spark, sf_dir):
-    d = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = views.wide_table(spark, sf_dir, "documents", "doc_id", "text")
     b = views.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     c = views.table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
@@ -118,7 +118,7 @@ def t18(spark, sf_dir):
 @query("t19_word_normalise", f"""with {_DOC_TOKENS}
 select lower(trim(' ' || token || ' ')) as word, count(*) as n from doctokens group by 1""")
 def t19(spark, sf_dir):
-    d = views.table(spark, sf_dir, "documents")
+    d = views.wide_table(spark, sf_dir, "documents", "text")
     words = d.select(F.explode(tx.tokens(F.col("text"))).alias("token"))
     padded = F.concat(F.lit(" "), "token", F.lit(" "))
     return words.groupBy(tx.normalise_word(padded).alias("word")).agg(
@@ -188,7 +188,7 @@ def t23(spark, sf_dir):
 @query("t23_character_list", """
 select distinct unnest(string_split(text, '')) as character from documents""")
 def t23_characters(spark, sf_dir):
-    return tok.character_set(views.table(spark, sf_dir, "documents"))
+    return tok.character_set(views.wide_table(spark, sf_dir, "documents", "text"))
 
 
 @query("t23_tag_list", sql.labelled() + "select distinct tag from tokens")

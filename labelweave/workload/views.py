@@ -6,6 +6,7 @@ from labelweave.functions import draws
 from labelweave.functions import text as tx
 from labelweave.operators import labelling as lab
 from labelweave.operators import records as rec
+from labelweave.session import spread
 
 ADDRESS_COLUMNS = ("house_number", "road", "unit", "city", "state", "postcode")
 
@@ -14,13 +15,18 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark, sf_dir, name, *columns):
+    """A table for costly row-wise work: read over all cores, even if small."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def addresses(spark, sf_dir):
     """Structured addresses: customers with their nation, region and a part name.
 
     Catalyst broadcasts nation and region by their known size and picks the
     join of customer and part by theirs.
     """
-    c = table(spark, sf_dir, "customer")
+    c = wide_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     p = table(spark, sf_dir, "part")
@@ -76,7 +82,7 @@ def predicted_tokens(spark, sf_dir):
 
 def messages(spark, sf_dir):
     """Message text with handles, links and contractions around each document."""
-    d = table(spark, sf_dir, "documents")
+    d = wide_table(spark, sf_dir, "documents", "doc_id", "text")
     marker = F.col("doc_id").cast("string")
     text = F.concat(F.lit("@user"), marker, F.lit(" Can't and WON'T "), F.col("text"),
                     F.lit(" https://t.example/"), marker, F.lit(" www.example.com/"), marker,
@@ -86,12 +92,12 @@ def messages(spark, sf_dir):
 
 def labelled_documents(spark, sf_dir):
     """Documents with a sentiment: the quality label."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = wide_table(spark, sf_dir, "documents", "doc_id", "text")
     q = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string")
                                               .alias("sentiment"))
     return d.join(q, "doc_id")
 
 
 def document_words(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = wide_table(spark, sf_dir, "documents", "doc_id", "text")
     return d.select("doc_id", tx.message_words(tx.clean_message(F.col("text"))).alias("words"))
