@@ -1,6 +1,7 @@
 """The order in which the labels of an address are written, and its disturbance.
 
 ``order``, ``key``, ``fields`` and ``pairs`` are SQL text, as a rule column names.
+They also stand inside lambdas, whose own names therefore end in an underscore.
 """
 
 from pyspark.sql import functions as F
@@ -29,8 +30,9 @@ def shuffled(order, key, probability, seed=0):
     """The whole order permuted, with the given probability."""
     if probability <= 0:
         return F.col(order)
-    ranked = (f"transform({order}, (label, i) -> struct("
-              f"{uniform_text(key, 'permute', 'i', seed)} as rank, i as place, label as label))")
+    ranked = (f"transform({order}, (label_, i_) -> struct("
+              f"{uniform_text(key, 'permute', 'i_', seed)} as rank, i_ as place, "
+              "label_ as label))")
     return F.expr(f"if({uniform_text(key, 'shuffle', seed=seed)} < {probability}D, "
                   f"array_sort({ranked}).label, {order})")
 
@@ -43,11 +45,11 @@ def duplicated(order, key, probability, profile="standard", seed=0):
         return F.col(order)
     wanted = hits_text(key, "duplicate", probability, room, seed)
     count = f"least({wanted}, {fixed.MAX_ORDER_SIZE} - size({order}))"
-    source = pick_text(key, "duplicate_from", "size(labels)", "step", seed)
-    target = pick_text(key, "duplicate_to", "size(labels) + 1", "step", seed)
-    grown = (f"aggregate(sequence(1, n), {order}, (labels, step) -> "
-             f"array_insert(labels, {target} + 1, get(labels, {source})))")
-    return F.expr(let("n", count, f"if(n > 0, {grown}, {order})"))
+    source = pick_text(key, "duplicate_from", "size(list_)", "step_", seed)
+    target = pick_text(key, "duplicate_to", "size(list_) + 1", "step_", seed)
+    grown = (f"aggregate(sequence(1, n_), {order}, (list_, step_) -> "
+             f"array_insert(list_, {target} + 1, get(list_, {source})))")
+    return F.expr(let("n_", count, f"if(n_ > 0, {grown}, {order})"))
 
 
 def shortened(order, key, probability, seed=0):
@@ -55,22 +57,24 @@ def shortened(order, key, probability, seed=0):
     if probability <= 0:
         return F.col(order)
     wanted = hits_text(key, "delete", probability, fixed.MAX_ORDER_SIZE - 1, seed)
-    at = pick_text(key, "delete_at", "size(labels)", "step", seed)
-    kept = let("at", at, "concat(slice(labels, 1, at), slice(labels, at + 2, size(labels)))")
-    cut = f"aggregate(sequence(1, n), {order}, (labels, step) -> {kept})"
-    return F.expr(let("n", f"least({wanted}, size({order}) - 1)", f"if(n > 0, {cut}, {order})"))
+    at = pick_text(key, "delete_at", "size(list_)", "step_", seed)
+    kept = let("at_", at, "concat(slice(list_, 1, at_), slice(list_, at_ + 2, size(list_)))")
+    cut = f"aggregate(sequence(1, n_), {order}, (list_, step_) -> {kept})"
+    return F.expr(let("n_", f"least({wanted}, size({order}) - 1)",
+                      f"if(n_ > 0, {cut}, {order})"))
 
 
 def present(order, fields):
     """The labels of an order that the record has."""
-    return F.expr(let("f", fields, f"filter({order}, label -> map_contains_key(f, label))"))
+    return F.expr(let("f_", fields,
+                      f"filter({order}, label_ -> map_contains_key(f_, label_))"))
 
 
 def parts(order, fields):
     """The (label, value) parts of a record in the given order, absent ones left out."""
-    found = (f"transform(filter({order}, label -> map_contains_key(f, label)), "
-             "label -> struct(label as label, f[label] as value))")
-    return F.expr(let("f", fields, found))
+    found = (f"transform(filter({order}, label_ -> map_contains_key(f_, label_)), "
+             "label_ -> struct(label_ as label, f_[label_] as value))")
+    return F.expr(let("f_", fields, found))
 
 
 def first_matches(order, pairs):
@@ -78,6 +82,6 @@ def first_matches(order, pairs):
 
     Pairs whose label is not in the order are left out.
     """
-    found = "get(filter(p, pair -> lower(pair.label) = label), 0)"
-    listed = f"transform({order}, label -> {found})"
-    return F.expr(let("p", pairs, f"filter({listed}, pair -> pair is not null)"))
+    found = "get(filter(p_, pair_ -> lower(pair_.label) = label_), 0)"
+    listed = f"transform({order}, label_ -> {found})"
+    return F.expr(let("p_", pairs, f"filter({listed}, pair_ -> pair_ is not null)"))

@@ -90,11 +90,11 @@ def with_best_tag(df, names, name="prediction"):
 
 def softmax(scores, threshold=None):
     """Probabilities of a score array; those below the threshold become 0."""
-    shifted = f"transform({scores}, s -> exp(s - array_max({scores})))"
-    total = "aggregate(e, 0D, (sum, x) -> sum + x)"
-    share = f"x / {total}"
-    kept = share if threshold is None else f"if({share} >= {threshold}D, {share}, 0D)"
-    return F.expr(let("e", shifted, f"transform(e, x -> {kept})"))
+    shifted = let("s_", scores, "transform(s_, x -> exp(x - array_max(s_)))")
+    total = "aggregate(e_, 0D, (sum, x) -> sum + x)"
+    kept = "x / total_" if threshold is None else (
+        f"if(x / total_ >= {threshold}D, x / total_, 0D)")
+    return F.expr(let("e_", shifted, let("total_", total, f"transform(e_, x -> {kept})")))
 
 
 def count_emissions(rows, training, names, token="token", tag="tag"):
