@@ -45,10 +45,12 @@ def with_row_index(df, order, by=(), name="row_index"):
     """Consecutive numbers from 0 in the given order, per group if ``by`` is set.
 
     The order must be total. Rows are range-partitioned over it, written once
-    with their place in their partition, and the partition offsets (one row
-    each) are added. No task sees more than one range, so a group may hold
-    most of the rows. The written table keeps ranges and places fixed even
-    when tasks are repeated.
+    with their place in their partition, and the partition offsets are added.
+    No task sees more than one range, so a group may hold most of the rows.
+    The written table keeps ranges and places fixed even when tasks are
+    repeated. Offsets are one row per range, plus one per further group in it;
+    they are written too, so that Catalyst knows their size when it decides
+    between a broadcast and a shuffled join.
     """
     columns = [*by, *order]
     ranged = (df.repartitionByRange(*columns).sortWithinPartitions(*columns)
@@ -63,7 +65,7 @@ def with_row_index(df, order, by=(), name="row_index"):
     offsets = counts.select(
         *by, "_slice",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
-    numbered = placed.join(offsets, [*by, "_slice"])
+    numbered = placed.join(materialise(offsets, "row-offsets"), [*by, "_slice"])
     return numbered.select(*df.columns, (F.col("_place") + F.col("_offset")).alias(name))
 
 

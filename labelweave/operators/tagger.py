@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import FeatureHasher, StringIndexer, StringIndexerModel, Word2Vec
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +30,7 @@ def context_rows(df, *keys, tokens="tokens", tag="tag"):
     word = "lower(trim({}.token))"
     previous = f"coalesce({word.format('get(all, i - 1)')}, '{START}')"
     following = f"coalesce({word.format('get(all, i + 1)')}, '{END}')"
-    has_tag = "t.tag as tag, " if tag else ""
+    has_tag = f"t.{tag} as tag, " if tag else ""
     item = (f"struct(cast(i as bigint) as pos, t.token as token, {has_tag}"
             f"{word.format('t')} as word, {_shape('t.token')} as shape, "
             "substring(lower(t.token), 1, 2) as prefix, "
@@ -41,15 +42,20 @@ def context_rows(df, *keys, tokens="tokens", tag="tag"):
     return df.select(*keys, F.inline(F.expr(listed)))
 
 
-def token_vectors(df, tokens="words", size=16, min_count=1, seed=0):
-    """Word vectors fitted on the corpus at hand."""
-    return Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens,
-                    outputCol="vector").fit(df)
+def token_vectors(df, tokens="words", size=16, min_count=5, seed=0, partitions=None):
+    """Word vectors fitted on the corpus at hand.
+
+    The estimator trains in one partition unless told otherwise; here all cores
+    take part. Words below ``min_count`` have no vector, which bounds the model.
+    """
+    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return Word2Vec(vectorSize=size, minCount=min_count, seed=seed, numPartitions=partitions,
+                    inputCol=tokens, outputCol="vector").fit(df)
 
 
 # --- emission model ------------------------------------------------------------------
 
-def fit_tagger(rows, features=FEATURES, buckets=1 << 14, max_iter=50, reg=1e-4):
+def fit_tagger(rows, features=FEATURES, buckets=1 << 14, max_iter=20, reg=1e-4):
     """``rows`` has the feature columns and ``tag``.
 
     Features are hashed, so the model size does not grow with the vocabulary,
@@ -132,9 +138,8 @@ def transition_counts(df, tags):
 def transition_scores(counts, n_tags):
     """Add-one smoothed log probability of each pair seen; a pair not seen
     scores like a count of zero."""
-    totals = counts.groupBy("previous").agg(F.sum("n").alias("total"))
-    scored = counts.join(totals, "previous")
-    return scored.withColumn(
+    total = F.sum("n").over(Window.partitionBy("previous"))  # at most one row per tag
+    return counts.withColumn("total", total).withColumn(
         "log_probability", F.log((F.col("n") + 1.0) / (F.col("total") + float(n_tags))))
 
 
@@ -176,19 +181,26 @@ def decoder(start, moves):
     return decode
 
 
-def decode_rows(df, keys, names, start, moves):
+def decode_rows(df, keys, names, start, moves, truth=None):
     """Tags of every row of ``keys`` along its best path.
 
     Token rows come back together per source row; a group is never larger than
-    one text. ``df`` has ``pos``, ``token`` and ``probabilities``.
+    one text. ``df`` has ``pos``, ``token`` and ``probabilities``; a ``truth``
+    column is carried along as ``target``.
     """
-    listed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.struct("pos", "token", "probabilities"))).alias("items"))
+    kept = ["pos", "token", "probabilities"]
+    kept += [F.col(truth).alias("target")] if truth else []
+    listed = df.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(*kept))).alias("items"))
     emissions = F.expr("transform(items.probabilities, "
                        "p -> transform(p, x -> ln(greatest(x, 1e-12D))))")
     paths = listed.withColumn("path", decoder(start, moves)(emissions))
     tags = F.array(*[F.lit(tag) for tag in names])
-    tagged = F.transform(F.arrays_zip(F.col("items").alias("item"), F.col("path").alias("tag")),
-                         lambda z: F.struct(z["item"]["token"].alias("token"),
-                                            F.get(tags, z["tag"]).alias("tag")))
-    return paths.select(*keys, tagged.alias("tokens"))
+
+    def tagged(z):
+        target = [z["item"]["target"].alias("target")] if truth else []
+        return F.struct(z["item"]["token"].alias("token"),
+                        F.get(tags, z["tag"]).alias("tag"), *target)
+
+    zipped = F.arrays_zip(F.col("items").alias("item"), F.col("path").alias("tag"))
+    return paths.select(*keys, F.transform(zipped, tagged).alias("tokens"))

@@ -21,21 +21,29 @@ def with_clean_text(df, text="text", name="tweet"):
     return df.withColumn(name, tx.clean_message(F.col(text)))
 
 
-def ngram_rows(df, *keys, words="words", sizes=SIZES, distinct=False):
-    """One row per n-gram: ``n``, its place and the term.
-
-    ``distinct`` keeps each term once per row, before anything is moved.
-    """
+def ngram_rows(df, *keys, words="words", sizes=SIZES):
+    """One row per n-gram: ``n``, its place and the term."""
     def grams(n):
-        found = tx.ngrams(words, n)
-        found = F.array_distinct(found) if distinct else found
-        return F.transform(found, lambda term, i: F.struct(
+        return F.transform(tx.ngrams(words, n), lambda term, i: F.struct(
             F.lit(n).cast("bigint").alias("n"), i.cast("bigint").alias("pos"),
             term.alias("term")))
 
     return df.select(*keys, F.inline(F.flatten(F.array(*[grams(n) for n in sizes]))))
 
 
+def term_rows(df, n, words="words", distinct=False):
+    """The n-grams alone; ``distinct`` keeps each once per row, before anything
+    is moved."""
+    grams = tx.ngrams(words, n)
+    terms = df.select(F.explode_outer(F.array_distinct(grams) if distinct else grams)
+                      .alias("term"))
+    return terms.filter("term is not null").select(F.lit(n).cast("bigint").alias("n"), "term")
+
+
+def _counted(rows, name):
+    return rows.groupBy("n", "term").agg(F.count(F.lit(1)).alias(name))
+
+
 def vocabulary(df, words="words", size=fixed.VOCABULARY_SIZE, sizes=SIZES):
     """The most frequent terms per n, with their rank; ties go by term.
 
@@ -45,9 +53,7 @@ def vocabulary(df, words="words", size=fixed.VOCABULARY_SIZE, sizes=SIZES):
     order = [F.desc("count"), F.asc("term")]
     tops = None
     for n in sizes:
-        counts = (ngram_rows(df, words=words, sizes=(n,)).groupBy("n", "term")
-                  .agg(F.count(F.lit(1)).alias("count")))
-        top = counts.orderBy(*order).limit(size)
+        top = _counted(term_rows(df, n, words), "count").orderBy(*order).limit(size)
         # At most ``size`` rows are left here.
         ranked = top.withColumn("rank", (F.row_number().over(
             Window.partitionBy("n").orderBy(*order)) - 1).cast("bigint"))
@@ -57,11 +63,18 @@ def vocabulary(df, words="words", size=fixed.VOCABULARY_SIZE, sizes=SIZES):
 
 def inverse_document_frequency(df, terms, words="words", min_doc_freq=fixed.MIN_DOC_FREQ,
                                sizes=SIZES):
-    """Smoothed idf of the vocabulary terms; 0 below the minimum document count."""
+    """Smoothed idf of the vocabulary terms; 0 below the minimum document count.
+
+    A written vocabulary has a known, small size: Catalyst then broadcasts it
+    and other terms are gone before anything is moved.
+    """
     n_docs = df.count()
-    seen = ngram_rows(df, words=words, sizes=sizes, distinct=True)
-    found = (seen.join(terms.select("n", "term"), ["n", "term"]).groupBy("n", "term")
-             .agg(F.count(F.lit(1)).alias("doc_freq")))
+    found = None
+    for n in sizes:
+        seen = term_rows(df, n, words, distinct=True)
+        counted = _counted(seen.join(terms.filter(F.col("n") == n).select("n", "term"),
+                                     ["n", "term"]), "doc_freq")
+        found = counted if found is None else found.unionByName(counted)
     idf = F.log(F.lit(n_docs + 1.0) / (F.col("doc_freq") + 1))
     return found.withColumn("idf", F.when(F.col("doc_freq") >= min_doc_freq, idf).otherwise(0.0))
 

@@ -1,5 +1,6 @@
 """Documents to sentences and tokens, lexicons, dictionaries and encodings."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from labelweave import fixed
@@ -129,30 +130,29 @@ def with_batches(df, key, bucket, size):
     return numbered.withColumn("batch", batch).drop("_number")
 
 
-def pad_to_batch(df, batch_keys, column, name=None, fill=0):
+def pad_to_batch(df, batch_keys, column, fill=0):
     """Arrays padded with ``fill`` to the longest of their batch.
 
-    Batches are of fixed size. The maximum per batch is combined before it is
-    moved and joined back.
+    A batch is of fixed size, so its window is small; rows are moved once.
     """
-    longest = df.groupBy(*batch_keys).agg(F.max(F.size(column)).alias("_longest"))
-    joined = df.join(longest, list(batch_keys))
+    batch = Window.partitionBy(*batch_keys)
+    wide = df.withColumn("_longest", F.max(F.size(column)).over(batch))
     element = df.schema[column].dataType.elementType
     padding = F.array_repeat(F.lit(fill).cast(element), F.col("_longest") - F.size(column))
-    return joined.withColumn(name or column, F.concat(column, padding)).drop("_longest")
+    return wide.withColumn(column, F.concat(column, padding)).drop("_longest")
 
 
 def pad_nested_to_batch(df, batch_keys, column, fill=0):
     """Arrays of arrays padded in both directions: inner ones to the longest
     inner, outer ones with rows of ``fill``."""
+    batch = Window.partitionBy(*batch_keys)
     inner_size = F.array_max(F.transform(column, lambda inner: F.size(inner)))
-    longest = df.groupBy(*batch_keys).agg(F.max(F.size(column)).alias("_outer"),
-                                          F.max(inner_size).alias("_inner"))
-    joined = df.join(longest, list(batch_keys))
+    wide = df.withColumns({"_outer": F.max(F.size(column)).over(batch),
+                           "_inner": F.max(inner_size).over(batch)})
     element = df.schema[column].dataType.elementType.elementType
     value = F.lit(fill).cast(element)
     inner = F.transform(column, lambda x: F.concat(
         x, F.array_repeat(value, F.col("_inner") - F.size(x))))
     missing = F.array_repeat(F.array_repeat(value, F.col("_inner")),
                              F.col("_outer") - F.size(column))
-    return joined.withColumn(column, F.concat(inner, missing)).drop("_outer", "_inner")
+    return wide.withColumn(column, F.concat(inner, missing)).drop("_outer", "_inner")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.functions import text as tx
-from labelweave.operators import evaluate as ev
+from labelweave.functions.binding import unfold
 from labelweave.operators import labelling as lab
 from labelweave.operators import tagger as tg
 from labelweave.operators import tokens as tok
@@ -59,21 +59,22 @@ def train(df, key="key", **settings):
     return Tagger(model, start, moves)
 
 
-def tag_texts(tagger, df, *keys):
-    """Rows with ``tokens`` (tags not needed) to the same keys with tagged tokens."""
-    rows = tg.context_rows(df, *keys, tag=None)
-    scored = tg.scored_rows(tagger.model, rows).select(*keys, "pos", "token", "probabilities")
-    return tg.decode_rows(scored, list(keys), tagger.names, tagger.start, tagger.moves)
+def tag_texts(tagger, df, *keys, truth=None):
+    """Rows with ``tokens`` to the same keys with tagged tokens.
+
+    Tokens need no tags; with ``truth="tag"`` those they have are kept beside
+    the predicted ones.
+    """
+    rows = tg.context_rows(df, *keys, tag=truth)
+    scored = tg.scored_rows(tagger.model, rows)
+    return tg.decode_rows(scored, list(keys), tagger.names, tagger.start, tagger.moves, truth)
 
 
 def score(tagger, df, key="key"):
     """Token rows with truth and prediction."""
-    tagged = tag_texts(tagger, df, key).withColumnRenamed("tokens", "tagged")
-    both = df.select(key, "tokens").join(tagged, key)
-    arrays = both.select(key, F.col("tokens.token").alias("tokens"),
-                         F.col("tokens.tag").alias("targets"),
-                         F.col("tagged.tag").alias("predictions"))
-    return ev.side_by_side(arrays, key)
+    rows = unfold(tag_texts(tagger, df, key, truth="tag"), [key], "tokens")
+    return rows.select(key, "pos", "item.token", "item.target",
+                       F.col("item.tag").alias("prediction"))
 
 
 def tokenise_texts(df, *keys, text="text"):

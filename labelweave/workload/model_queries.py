@@ -98,7 +98,8 @@ select cast(n as bigint) as n, term, doc_freq,
             else 0.0 end as idf from frequencies""")
 def c9(spark, sf_dir):
     words = materialise(views.document_words(spark, sf_dir), "words")
-    idf = tc.inverse_document_frequency(words, tc.vocabulary(words))
+    terms = materialise(tc.vocabulary(words), "vocabulary")
+    idf = tc.inverse_document_frequency(words, terms)
     return idf.withColumn("idf", F.round("idf", 6))
 
 
