@@ -83,7 +83,7 @@ AREA_FILE_NAMES = ("countrywide", "statewide")
 
 # --- text formats ----------------------------------------------------------
 
-TOKEN_SEPARATOR = "[ _]"
+TOKEN_SEPARATORS = " _"
 DOCSTART = "-DOCSTART- -X- -X- O"
 ANNOTATION_TYPE = "named_entity"
 PIECE_TAG = "[X]"

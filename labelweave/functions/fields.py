@@ -13,7 +13,7 @@ def empty_to_null(value):
 
 
 def strip_periods(value):
-    return F.regexp_replace(value, r"\.", "")
+    return F.replace(value, F.lit("."), F.lit(""))
 
 
 def parse_line(line, names=fixed.FILE_LABELS):
@@ -34,17 +34,25 @@ def path_depth(root):
     return len([part for part in _without_scheme(root).split("/") if part])
 
 
-def relative_parts(path, root=None):
-    """Folder and file names below ``root`` as an array, undecorated.
+def relative_path(path, root=None):
+    """Folder and file names below ``root``, undecorated, with slashes between.
 
     Folders may be named ``value`` or, as a partitioned write names them,
     ``key=value``.
     """
-    plain = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    parts = F.filter(F.split(plain, "/"), lambda part: part != "")
-    if root is not None:
-        parts = F.slice(parts, path_depth(root) + 1, F.size(parts))
-    return F.transform(parts, lambda part: F.regexp_replace(part, "^[^=]*=", ""))
+    depth = path_depth(root) if root is not None else 0
+    below = F.regexp_replace(path, f"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*(?:[^/]+/+){{{depth}}}", "")
+    return F.when(F.contains(below, F.lit("=")),
+                  F.regexp_replace(below, "(^|/)[^/=]*=", "$1")).otherwise(below)
+
+
+def readable(path):
+    """Names without ``.csv`` and with blanks for underscores."""
+    return F.translate(F.replace(path, F.lit(".csv"), F.lit("")), "_", " ")
+
+
+def parts_of(path):
+    return F.split(path, "/")
 
 
 def file_path_text(path):
@@ -52,13 +60,6 @@ def file_path_text(path):
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def readable_parts(parts):
-    """Names without ``.csv`` and with blanks for underscores."""
-    return F.transform(
-        parts,
-        lambda part: F.translate(F.replace(part, F.lit(".csv"), F.lit("")), "_", " "))
-
-
 def country_of(parts):
     return F.when(F.size(parts) >= 3, F.get(parts, F.lit(1)))
 

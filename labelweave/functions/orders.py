@@ -37,31 +37,38 @@ def shuffled(order, key, probability, seed=0):
                   f"array_sort({ranked}).label, {order})")
 
 
-def duplicated(order, key, probability, profile="standard", seed=0):
-    """Copies of random entries put at random places, while draws keep hitting
-    and the order stays within its size limit."""
+def duplications(order, key, probability, profile="standard", seed=0):
+    """How many labels are to be copied: draws keep hitting and there is room."""
     room = fixed.MAX_ORDER_SIZE - min(len(o) for o in fixed.ORDERS[profile])
     if probability <= 0 or room <= 0:
-        return F.col(order)
+        return F.lit(0)
     wanted = hits_text(key, "duplicate", probability, room, seed)
-    count = f"least({wanted}, {fixed.MAX_ORDER_SIZE} - size({order}))"
+    return F.expr(f"least({wanted}, {fixed.MAX_ORDER_SIZE} - size({order}))")
+
+
+def duplicated(order, key, count, seed=0):
+    """Copies of random entries put at random places, ``count`` of them."""
     source = pick_text(key, "duplicate_from", "size(list_)", "step_", seed)
     target = pick_text(key, "duplicate_to", "size(list_) + 1", "step_", seed)
-    grown = (f"aggregate(sequence(1, n_), {order}, (list_, step_) -> "
+    grown = (f"aggregate(sequence(1, {count}), {order}, (list_, step_) -> "
              f"array_insert(list_, {target} + 1, get(list_, {source})))")
-    return F.expr(let("n_", count, f"if(n_ > 0, {grown}, {order})"))
+    return F.expr(f"if({count} > 0, {grown}, {order})")
 
 
-def shortened(order, key, probability, seed=0):
-    """Random entries dropped, while draws keep hitting and one entry is left."""
+def deletions(order, key, probability, seed=0):
+    """How many labels are to be dropped: draws keep hitting and one is left."""
     if probability <= 0:
-        return F.col(order)
+        return F.lit(0)
     wanted = hits_text(key, "delete", probability, fixed.MAX_ORDER_SIZE - 1, seed)
+    return F.expr(f"least({wanted}, size({order}) - 1)")
+
+
+def shortened(order, key, count, seed=0):
+    """Random entries dropped, ``count`` of them."""
     at = pick_text(key, "delete_at", "size(list_)", "step_", seed)
     kept = let("at_", at, "concat(slice(list_, 1, at_), slice(list_, at_ + 2, size(list_)))")
-    cut = f"aggregate(sequence(1, n_), {order}, (list_, step_) -> {kept})"
-    return F.expr(let("n_", f"least({wanted}, size({order}) - 1)",
-                      f"if(n_ > 0, {cut}, {order})"))
+    cut = f"aggregate(sequence(1, {count}), {order}, (list_, step_) -> {kept})"
+    return F.expr(f"if({count} > 0, {cut}, {order})")
 
 
 def present(order, fields):

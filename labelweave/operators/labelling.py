@@ -21,9 +21,12 @@ def with_order(df, key, augmentation=PRESETS["none"], template=None, name="order
     if a.shuffle > 0:
         df = df.withColumn(name, ox.shuffled(name, key, a.shuffle, a.seed))
     if a.duplicate > 0:
-        df = df.withColumn(name, ox.duplicated(name, key, a.duplicate, a.profile, a.seed))
+        count = ox.duplications(name, key, a.duplicate, a.profile, a.seed)
+        df = df.withColumn("_count", count)
+        df = df.withColumn(name, ox.duplicated(name, key, "_count", a.seed)).drop("_count")
     if a.delete > 0:
-        df = df.withColumn(name, ox.shortened(name, key, a.delete, a.seed))
+        df = df.withColumn("_count", ox.deletions(name, key, a.delete, a.seed))
+        df = df.withColumn(name, ox.shortened(name, key, "_count", a.seed)).drop("_count")
     return df
 
 

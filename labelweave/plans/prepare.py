@@ -3,6 +3,7 @@ projection, one write, and no shuffle."""
 
 from pyspark.sql import functions as F
 
+from labelweave import fixed
 from labelweave.config import PRESETS
 from labelweave.operators import labelling as lab
 from labelweave.operators import records as rec
@@ -16,7 +17,8 @@ def label_tree(spark, root, augmentation=PRESETS["full"], strip_periods="fields"
     """Columns text, label and split."""
     rows = af.with_parts(af.read_tree(spark, root), root)
     # A row's own content is its key, so draws repeat after a retry.
-    key = F.md5(F.concat_ws("|", "path", F.to_json(F.struct(*af.fixed.FILE_LABELS))))
+    content = [F.coalesce(F.col(name), F.lit("")) for name in fixed.FILE_LABELS]
+    key = F.md5(F.concat_ws("|", "path", *content))
     keyed = rec.clean_columns(rows, strip_periods=strip_periods).withColumn("key", key)
     records = rec.with_fields(rec.with_path_fields(keyed, F.col("parts")))
     ordered = lab.with_order(records, "key", augmentation)

@@ -34,8 +34,8 @@ def read_raw_lines(spark, root, header=",".join(fixed.FILE_HEADER)):
 
 def with_parts(df, root, path="path", name="parts", readable=True):
     """Folder and file names below ``root``; blanks for underscores if readable."""
-    parts = fx.relative_parts(F.col(path), root)
-    return df.withColumn(name, fx.readable_parts(parts) if readable else parts)
+    below = fx.relative_path(F.col(path), root)
+    return df.withColumn(name, fx.parts_of(fx.readable(below) if readable else below))
 
 
 def file_headers(spark, paths):

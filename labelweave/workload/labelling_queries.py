@@ -91,7 +91,7 @@ _PATHS = """paths as (
 
 def _with_parts(spark, sf_dir):
     lines = _lines(spark, sf_dir)
-    return lines.withColumn("parts", fx.readable_parts(fx.relative_parts(F.col("path"))))
+    return lines.withColumn("parts", fx.parts_of(fx.readable(fx.relative_path(F.col("path")))))
 
 
 @query("n3_country_state_from_path", "with " + ",\n".join([sql.ADDR, _LINE, _PATHS]) + """
@@ -139,14 +139,14 @@ select key, p[1] as country, case when n = 2 then f else p[2] end as state,
        case when n = 3 then f end as city from named""")
 def n6(spark, sf_dir):
     lines = _lines(spark, sf_dir).select("key", F.expr("substring(path, 5)").alias("path"))
-    parents = fx.folder_parents(fx.relative_parts(F.col("path")))
+    parents = fx.folder_parents(fx.parts_of(fx.relative_path(F.col("path"))))
     return lines.select("key", parents.alias("p")).select("key", "p.*")
 
 
 @query("n7_file_name_cleaning", "with " + ",\n".join([sql.ADDR, _LINE, _FOLDERS]) +
        "\nselect key, f as name from named")
 def n7(spark, sf_dir):
-    parts = fx.relative_parts(F.col("path"))
+    parts = fx.parts_of(fx.relative_path(F.col("path")))
     return _lines(spark, sf_dir).select(
         "key", fx.clean_file_name(F.element_at(parts, -1)).alias("name"))
 

@@ -130,7 +130,7 @@ def test_folder_parents(spark):
     df = spark.createDataFrame([
         ("ca/on/city_of_Toronto.csv", None), ("ca/countrywide.csv", None), ("ca/on.csv", "own"),
         ("ca/on/x/deep.csv", None)], "path string, state string")
-    parts = fx.relative_parts(F.col("path"))
+    parts = fx.parts_of(fx.relative_path(F.col("path")))
     rows = rec.with_folder_parents(df, parts).collect()
     assert [(r["country"], r["state"], r["city"]) for r in rows] == [
         ("ca", "on", "Toronto"), ("ca", None, None), ("ca", "own", None), ("ca", "on", "x")]
