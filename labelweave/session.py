@@ -1,7 +1,9 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,24 @@ def build_session(app_name="labelweave", master=None, **conf):
     return builder.getOrCreate()
 
 
+def ship_package(spark):
+    """Sends this package to the executors, where it is not installed; needed
+    by whatever runs Python there. Once per session, a few hundred kilobytes."""
+    context = spark.sparkContext
+    if getattr(context, "_labelweave_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="labelweave-"), "labelweave.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._labelweave_shipped = True
+
+
 def shared_dir(spark):
     """The folder all executors share.
 
