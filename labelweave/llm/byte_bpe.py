@@ -17,7 +17,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 DEFAULT_FILE = "byte_bpe_50k.json"
-CACHE_PIECES = 250_000
+CACHE_PIECES = 150_000
 CACHE_KEY_CHARS = 64
 HEAD_BYTES = 6
 # On these characters all regular-expression engines agree; any other text is
@@ -97,8 +97,9 @@ class PieceBpe:
         self._longest = max(map(len, self._rank))
         # The same vocabulary for an encoder that is several times faster.
         ids = {as_bytes(t): i for t, i in spec["model"]["vocab"].items() if t not in self.added}
-        self._fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ids,
-                                       special_tokens=self.added)
+        self._make_fast = lambda: tiktoken.Encoding(
+            path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ids, special_tokens=self.added)
+        self._fast = None
         self._steps = TwoAges(CACHE_PIECES)
         self._follows, self._heads = TwoAges(CACHE_PIECES), TwoAges(CACHE_PIECES)
 
@@ -122,6 +123,7 @@ class PieceBpe:
     def text_ids(self, text):
         """Ids of a text as an array of unsigned 32-bit numbers."""
         if text.isascii() or not _UNUSUAL.search(text):
+            self._fast = self._fast or self._make_fast()
             return self._fast.encode_to_numpy(text, allowed_special=set(self.added))
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 

@@ -1,9 +1,32 @@
 """Queries of the numbered operators, and the SQL of those that SQL can express."""
 
-from labelweave.llm.token_counts import op1_token_counts
+from functools import wraps
+
+from labelweave.llm import chat, mixing, packing, quality, token_counts, warc
+from labelweave.session import ship_package
+
+
+def _shipped(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
 
 QUERIES = {
-    "op1_token_counts": op1_token_counts,
+    "op1_token_counts": token_counts.op1_token_counts,
+    "op2_warc_salvage": warc.op2_warc_salvage,
+    "op3_preference_formatting": chat.op3_preference_formatting,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op6_quality_rules": quality.op6_quality_rules,
+    "op7_mixing": mixing.op7_mixing,
 }
+QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 
-ORACLES = {}
+ORACLES = {
+    "op2_warc_salvage": warc.ORACLE,
+    "op3_preference_formatting": chat.ORACLE,
+    "op6_quality_rules": quality.ORACLE,
+    "op7_mixing": mixing.ORACLE,
+}

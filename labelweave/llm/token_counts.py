@@ -10,6 +10,7 @@ encoding again: ``count_of_prefix``, ``chars_within``.
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelweave.llm import byte_bpe
 from labelweave.llm.common import table, whole_text
@@ -36,14 +37,14 @@ def with_prefix_counts(df, text="text", path=None, n_tokens="n_tokens", steps="p
             .drop("__counted"))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def count_of_prefix(steps: pd.Series, chars: pd.Series) -> pd.Series:
     """Tokens of the first ``chars`` characters; more than the text has means all."""
     return pd.Series([int(np.frombuffer(s, np.int8)[:max(int(n), 0)].sum(dtype=np.int64))
                       for s, n in zip(steps, chars)], dtype="int64")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def chars_within(steps: pd.Series, budget: pd.Series) -> pd.Series:
     """Characters of the longest prefix of at most ``budget`` tokens."""
     def longest(step, most):
