@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from labelweave.llm import chat, mixing, packing, quality, token_counts, warc
+from labelweave.llm import chat, mixing, order_minhash, packing, quality, token_counts, warc
 from labelweave.session import ship_package
 
 
@@ -19,6 +19,7 @@ QUERIES = {
     "op2_warc_salvage": warc.op2_warc_salvage,
     "op3_preference_formatting": chat.op3_preference_formatting,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_order_minhash": order_minhash.op5_order_minhash,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_mixing": mixing.op7_mixing,
 }
