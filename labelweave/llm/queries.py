@@ -2,7 +2,7 @@
 
 from functools import wraps
 
-from labelweave.llm import chat, mixing, order_minhash, packing, quality, token_counts, warc
+from labelweave.llm import chat, hnsw, langid, mixing, order_minhash, packing, quality, token_counts, toxicity, warc
 from labelweave.session import ship_package
 
 
@@ -22,6 +22,9 @@ QUERIES = {
     "op5_order_minhash": order_minhash.op5_order_minhash,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_mixing": mixing.op7_mixing,
+    "op8_hnsw": hnsw.op8_hnsw,
+    "op9_language_id": langid.op9_language_id,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 
