@@ -8,7 +8,6 @@ largest mean probability, windows weighted by their bytes.
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -157,18 +156,18 @@ def predict(df, model, text="text"):
     """Adds lang_pred and score. Null texts and texts without a letter, and any
     text where nothing was learned, are ``und`` with score 0."""
     languages, weights = model
-    network = lru_cache(lambda: Network(weights))
 
-    def judge(held, names, scores):
+    def judge(network, held, names, scores):
         windows = np.concatenate([w for _, w in held])
         starts = np.cumsum([0] + [len(w) for _, w in held[:-1]])
         weight = (windows > 0).sum(1)[:, None] + 1e-6
-        weighed = network().probabilities(windows) * weight
+        weighed = network.probabilities(windows) * weight
         mean = np.add.reduceat(weighed, starts) / np.add.reduceat(weight, starts)
         for (i, _), row in zip(held, mean):
             names[i], scores[i] = languages[int(row.argmax())], float(min(1.0, row.max()))
 
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        network = Network(weights) if languages else None
         for texts in batches:
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             held, size = [], 0
@@ -178,10 +177,10 @@ def predict(df, model, text="text"):
                 held.append((i, windows_of(t.encode())))
                 size += len(held[-1][1])
                 if size >= 4 * _CHUNK:
-                    judge(held, names, scores)
+                    judge(network, held, names, scores)
                     held, size = [], 0
             if held:
-                judge(held, names, scores)
+                judge(network, held, names, scores)
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     udf = F.pandas_udf(guess, "lang_pred string, score double")
