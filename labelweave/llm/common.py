@@ -28,3 +28,8 @@ def word_count(text):
 def fold(doc_id, folds):
     """The held-out fold of a document: crc32 of its number written as text."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def let(value, body):
+    """``body`` of a value that is computed once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

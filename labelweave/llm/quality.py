@@ -8,7 +8,7 @@ are too short or repeat themselves. DataFrame functions only.
 
 from pyspark.sql import functions as F
 
-from labelweave.llm.common import BLANKS, table, whole_text, word_array, word_count
+from labelweave.llm.common import BLANKS, let, table, whole_text, word_array, word_count
 from labelweave.session import materialise
 
 SYMBOLS = "#*$%&|<>"  # fixed by the contract
@@ -22,11 +22,6 @@ LINE_SHARE = 0.01
 DEPLETED_PERCENT = 50
 
 
-def _let(value, body):
-    """``body`` of a value that is computed once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def repeated_words(words):
     """Words inside three-word windows that occur twice or more, the first
     occurrence included. Windows are compared by 64-bit hash, sorted to meet
@@ -38,15 +33,15 @@ def repeated_words(words):
         span = lambda a, p: F.struct(
             (a.n + p + WINDOW - F.greatest(p, a.end)).alias("n"), (p + WINDOW).alias("end"))
         zero = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("end"))
-        return _let(by_hash, lambda s: F.aggregate(starts(s), zero, span, lambda a: a.n))
+        return let(by_hash, lambda s: F.aggregate(starts(s), zero, span, lambda a: a.n))
 
     def windows(w):
         return F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW),
                            lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
     some = lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h))
-    return _let(words, lambda w: F.when(F.size(w) <= WINDOW, 0)
-                .otherwise(_let(windows(w), some))).cast("long")
+    return let(words, lambda w: F.when(F.size(w) <= WINDOW, 0)
+                .otherwise(let(windows(w), some))).cast("long")
 
 
 def lines_with_words(text):
@@ -61,7 +56,7 @@ def base_rules(df, text="text"):
         "n_words": word_count(whole),
         "word_chars": F.char_length(F.regexp_replace(whole, BLANKS, "")).cast("long"),
         "n_symbols": (F.char_length(whole) - F.char_length(F.translate(whole, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": repeated_words(word_array(whole))})
     return counted.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
@@ -73,10 +68,11 @@ def normalised(line):
 
 def _hashed_lines(df, host):
     """A row per line with a word: document, host, position, words and two hashes."""
-    lines = F.split(whole_text(), "\n")
+    # The digest goes into the rows: beside them, it would be computed for each line.
+    lines = let(F.md5(whole_text()), lambda d: F.transform(
+        F.split(whole_text(), "\n"), lambda line, i: F.struct(d.alias("digest"), i.alias("pos"), line.alias("line"))))
     norm = normalised(F.col("line"))
-    return (df.select("doc_id", host, F.md5(whole_text()).alias("digest"),
-                      F.posexplode_outer(lines).alias("pos", "line"))
+    return (df.select("doc_id", host, F.explode_outer(lines).alias("e")).select("doc_id", host, "e.*")
             .select("doc_id", host, "digest", "pos", word_count(F.col("line")).alias("words"),
                     F.xxhash64(host, norm).alias("h1"), F.hash(norm, host).alias("h2"))
             .where("words > 0"))
