@@ -62,7 +62,8 @@ def document(text):
                     (F.length(text) - 1).alias("end"), text.alias("result"))
 
 
-SENTENCE = r"[^.!?\s][^.!?]*[.!?]*"
+# A sentence may start with marks; a text of marks only is a sentence too.
+SENTENCE = r"[.!?]*[^.!?\s][^.!?]*[.!?]*|[.!?]+"
 TOKEN = r"[A-Za-z0-9_À-ɏ]+|[^A-Za-z0-9_À-ɏ\s]"
 
 

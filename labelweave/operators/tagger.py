@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelweave.functions.binding import let
+from labelweave.session import materialise, ship_package
 
 START = "<start>"
 END = "<end>"
@@ -88,15 +89,15 @@ def scored_rows(model, rows):
 
 def with_best_tag(df, names, name="prediction"):
     """Most probable tag and its confidence."""
-    best = F.array_max("probabilities")
     tags = F.array(*[F.lit(tag) for tag in names])
-    place = F.array_position(F.col("probabilities"), best)
-    return df.withColumns({name: F.element_at(tags, place.cast("int")), "confidence": best})
+    place = F.expr(let("p_", "probabilities", "array_position(p_, array_max(p_))"))
+    return df.withColumns({name: F.element_at(tags, place.cast("int")),
+                           "confidence": F.array_max("probabilities")})
 
 
 def softmax(scores, threshold=None):
     """Probabilities of a score array; those below the threshold become 0."""
-    shifted = let("s_", scores, "transform(s_, x -> exp(x - array_max(s_)))")
+    shifted = let("s_", scores, let("m_", "array_max(s_)", "transform(s_, x -> exp(x - m_))"))
     total = "aggregate(e_, 0D, (sum, x) -> sum + x)"
     kept = "x / total_" if threshold is None else (
         f"if(x / total_ >= {threshold}D, x / total_, 0D)")
@@ -107,7 +108,8 @@ def count_emissions(rows, training, names, token="token", tag="tag"):
     """Add-one smoothed share of every tag among the uses of a token.
 
     A plain stand-in for a fitted emission model: one count table, joined to
-    the token rows by token.
+    the token rows by token. It is written first, so that adaptive execution
+    can split the rows of a hot token.
     """
     counts = training.groupBy(token, tag).agg(F.count(F.lit(1)).alias("n"))
     per_token = counts.groupBy(token).agg(
@@ -117,7 +119,7 @@ def count_emissions(rows, training, names, token="token", tag="tag"):
     share = F.transform(tags, lambda name: (
         (F.coalesce(F.try_element_at("_n", name), F.lit(0)) + 1.0)
         / (F.coalesce("_total", F.lit(0)) + float(len(names)))))
-    joined = rows.join(per_token, token, "left")
+    joined = rows.join(materialise(per_token, "emissions"), token, "left")
     return joined.withColumn("probabilities", share).drop("_n", "_total")
 
 
@@ -172,12 +174,34 @@ def best_path(emissions, start, moves):
     return path[::-1]
 
 
+def best_paths(rows, start, moves):
+    """Best paths of many rows at once, in groups of equal length."""
+    lengths = np.array([len(r) for r in rows])
+    out = [[] for _ in rows]
+    for length in np.unique(lengths[lengths > 0]):
+        at = np.flatnonzero(lengths == length)
+        for part in np.array_split(at, -(-len(at) * length // 100_000)):
+            emissions = np.array([np.stack(rows[i]) for i in part])
+            score = start + emissions[:, 0]
+            back = np.zeros(emissions.shape, np.int32)
+            for i in range(1, length):
+                through = score[:, :, None] + moves
+                back[:, i] = through.argmax(axis=1)
+                score = through.max(axis=1) + emissions[:, i]
+            path = np.zeros((len(part), length), np.int32)
+            path[:, -1] = score.argmax(axis=1)
+            for i in range(length - 1, 0, -1):
+                path[:, i - 1] = back[np.arange(len(part)), i, path[:, i]]
+            for i, tags in zip(part, path):
+                out[i] = tags
+    return out
+
+
 def decoder(start, moves):
     """A pandas function from arrays of log emission scores to tag indices."""
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def decode(emissions: pd.Series) -> pd.Series:
-        return emissions.map(lambda rows: best_path(np.stack(rows), start, moves)
-                             if len(rows) else [])
+        return pd.Series(best_paths(list(emissions), start, moves), index=emissions.index)
     return decode
 
 
@@ -188,6 +212,7 @@ def decode_rows(df, keys, names, start, moves, truth=None):
     one text. ``df`` has ``pos``, ``token`` and ``probabilities``; a ``truth``
     column is carried along as ``target``.
     """
+    ship_package(df.sparkSession)
     kept = ["pos", "token", "probabilities"]
     kept += [F.col(truth).alias("target")] if truth else []
     listed = df.groupBy(*keys).agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.functions import text as tx
-from labelweave.operators.sampling import with_row_index
+from labelweave.functions.binding import let
 from labelweave.session import materialise
 
 SIZES = tuple(range(1, fixed.MAX_NGRAM + 1))
@@ -31,60 +31,56 @@ def ngram_rows(df, *keys, words="words", sizes=SIZES):
     return df.select(*keys, F.inline(F.flatten(F.array(*[grams(n) for n in sizes]))))
 
 
-def term_rows(df, n, words="words", distinct=False):
-    """The n-grams alone; ``distinct`` keeps each once per row, before anything
-    is moved."""
-    grams = tx.ngrams(words, n)
-    terms = df.select(F.explode_outer(F.array_distinct(grams) if distinct else grams)
-                      .alias("term"))
-    return terms.filter("term is not null").select(F.lit(n).cast("bigint").alias("n"), "term")
+def term_counts(df, words="words", sizes=SIZES):
+    """n, term, uses and documents of every term, in one pass and one shuffle.
 
+    Every row sends a term once, with how often it uses it: the terms of a row
+    are sorted, and a term's uses end where the next term begins. Counts are
+    combined per task before they are moved.
+    """
+    def of(n):
+        run = ("filter(transform(s, (x, i) -> struct(x as term, i as at, "
+               "x <=> get(s, i + 1) as again)), r -> not r.again)")
+        uses = f"transform(r, (x, i) -> struct(bigint({n}) as n, x.term as term, x.at - coalesce(get(r, i - 1).at, -1) as uses))"
+        return let("s", f"sort_array(g{n})", let("r", run, uses))
 
-def _counted(rows, name):
-    return rows.groupBy("n", "term").agg(F.count(F.lit(1)).alias(name))
+    grams = df.select(*[tx.ngrams(words, n).alias(f"g{n}") for n in sizes])
+    rows = grams.select(F.inline(F.expr(f"concat({', '.join(map(of, sizes))})")))
+    return rows.groupBy("n", "term").agg(F.sum("uses").cast("bigint").alias("count"),
+                                         F.count(F.lit(1)).alias("doc_freq"))
 
 
-def vocabulary(df, words="words", size=fixed.VOCABULARY_SIZE, sizes=SIZES):
+def vocabulary(df, words="words", size=fixed.VOCABULARY_SIZE, sizes=SIZES, doc_freq=False):
     """The most frequent terms per n, with their rank; ties go by term.
 
-    Counts are combined per task before they are moved, and each top list is
-    found by a bounded heap per task.
+    Each top list is found by a bounded heap per task. ``doc_freq`` adds the
+    number of rows that use the term, which the same pass has counted.
     """
     order = [F.desc("count"), F.asc("term")]
+    counted = materialise(term_counts(df, words, sizes), "terms")
     tops = None
     for n in sizes:
-        top = _counted(term_rows(df, n, words), "count").orderBy(*order).limit(size)
+        top = counted.filter(F.col("n") == n).orderBy(*order).limit(size)
         # At most ``size`` rows are left here.
         ranked = top.withColumn("rank", (F.row_number().over(
             Window.partitionBy("n").orderBy(*order)) - 1).cast("bigint"))
         tops = ranked if tops is None else tops.unionByName(ranked)
-    return tops
-
+    return tops if doc_freq else tops.drop("doc_freq")
 
-def inverse_document_frequency(df, terms, words="words", min_doc_freq=fixed.MIN_DOC_FREQ,
-                               sizes=SIZES):
-    """Smoothed idf of the vocabulary terms; 0 below the minimum document count.
 
-    A written vocabulary has a known, small size: Catalyst then broadcasts it
-    and other terms are gone before anything is moved.
-    """
-    n_docs = df.count()
-    found = None
-    for n in sizes:
-        seen = term_rows(df, n, words, distinct=True)
-        counted = _counted(seen.join(terms.filter(F.col("n") == n).select("n", "term"),
-                                     ["n", "term"]), "doc_freq")
-        found = counted if found is None else found.unionByName(counted)
+def inverse_document_frequency(n_docs, terms, min_doc_freq=fixed.MIN_DOC_FREQ):
+    """Smoothed idf of vocabulary terms with their ``doc_freq``; 0 below the
+    minimum document count."""
     idf = F.log(F.lit(n_docs + 1.0) / (F.col("doc_freq") + 1))
-    return found.withColumn("idf", F.when(F.col("doc_freq") >= min_doc_freq, idf).otherwise(0.0))
+    return terms.select("n", "term", "doc_freq").withColumn(
+        "idf", F.when(F.col("doc_freq") >= min_doc_freq, idf).otherwise(0.0))
 
 
 def label_index(df, label):
     """Index of every label by frequency, the most frequent first, ties by name."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("count"))
-    ordered = counts.withColumn("_order", -F.col("count"))
-    return with_row_index(ordered, ["_order", "label"], name="index").select(
-        "label", "count", "index")
+    number = F.row_number().over(Window.orderBy(F.desc("count"), "label")) - 1
+    return counts.select("label", "count", number.cast("bigint").alias("index"))
 
 
 def _fitted_counts(df, size):
@@ -99,25 +95,27 @@ def _fitted_counts(df, size):
 
 
 def build_stages(counts, label="sentiment"):
-    """Words, n-grams, counts, one idf over all counts, label index, regression."""
+    """Words, n-grams, counts, one idf over all counts, and the label index."""
     ngrams = [NGram(n=n, inputCol="words", outputCol=f"{n}_grams") for n in SIZES]
     return [
         Tokenizer(inputCol="tweet", outputCol="words"), *ngrams, *counts,
         VectorAssembler(inputCols=[c.getOutputCol() for c in counts], outputCol="tf"),
         IDF(inputCol="tf", outputCol="features", minDocFreq=fixed.MIN_DOC_FREQ),
         StringIndexer(inputCol=label, outputCol="label", stringOrderType="frequencyDesc"),
-        LogisticRegression(maxIter=fixed.MAX_ITERATIONS),
     ]
 
 
 def fit_classifier(df, label="sentiment", size=fixed.VOCABULARY_SIZE):
     """``df`` has ``text`` and the label column.
 
-    The cleaned text is written once: vocabularies, document frequencies,
-    label counts and the regression all read it.
+    The cleaned text is written once for vocabularies, document frequencies and
+    label counts; the features are written once for the passes of the regression.
     """
     cleaned = materialise(with_clean_text(df).select("tweet", label), "cleaned")
-    return Pipeline(stages=build_stages(_fitted_counts(cleaned, size), label)).fit(cleaned)
+    features = Pipeline(stages=build_stages(_fitted_counts(cleaned, size), label)).fit(cleaned)
+    rows = materialise(features.transform(cleaned).select("label", "features"), "features")
+    regression = LogisticRegression(maxIter=fixed.MAX_ITERATIONS).fit(rows)
+    return PipelineModel([*features.stages, regression])
 
 
 def classify(model, df):

@@ -7,6 +7,7 @@ from labelweave import fixed
 from labelweave.functions import text as tx
 from labelweave.functions.binding import unfold
 from labelweave.operators.sampling import with_row_index
+from labelweave.session import materialise
 
 
 def with_document(df, text="text", name="document"):
@@ -49,10 +50,11 @@ def fit_lexicon(df, token="token", tag="tag"):
 def apply_lexicon(df, lexicon, token="token", default=fixed.DEFAULT_POS, name="pos_tag"):
     """Tag of every token row, the default where the lexicon has none.
 
-    Catalyst broadcasts the lexicon if it is small enough and splits hot
-    tokens of a sort-merge join at run time otherwise.
+    The lexicon is written first: a join straight to its aggregate could not be
+    split at run time. Written, it is broadcast if small enough, and else hot
+    tokens of the sort-merge join are split.
     """
-    known = lexicon.select(F.col("token").alias(token), F.col("pos_tag").alias(name))
+    known = materialise(lexicon, "lexicon").select(F.col("token").alias(token), F.col("pos_tag").alias(name))
     joined = df.join(known, token, "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
 
@@ -60,11 +62,12 @@ def apply_lexicon(df, lexicon, token="token", default=fixed.DEFAULT_POS, name="p
 # --- dictionaries ---------------------------------------------------------------
 
 def tag_dictionary(df, document, position, tag="tag", outside=fixed.OUTSIDE_TAG):
-    """Tag ids by first appearance; the outside tag is always 0."""
+    """Tag ids by first appearance; the outside tag is always 0. The list to be
+    numbered has a row per tag."""
     first = df.filter(F.col(tag) != outside).groupBy(F.col(tag).alias("tag")).agg(
         F.min(F.struct(document, position)).alias("_first"))
-    numbered = with_row_index(first, ["_first", "tag"], name="tag_id")
-    ids = numbered.select("tag", (F.col("tag_id") + 1).alias("tag_id"))
+    number = F.row_number().over(Window.orderBy("_first", "tag"))
+    ids = first.select("tag", number.cast("bigint").alias("tag_id"))
     zero = df.sparkSession.createDataFrame([(outside, 0)], "tag string, tag_id bigint")
     return zero.unionByName(ids)
 

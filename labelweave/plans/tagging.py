@@ -13,6 +13,7 @@ from labelweave.operators import labelling as lab
 from labelweave.operators import tagger as tg
 from labelweave.operators import tokens as tok
 from labelweave.operators import wide
+from labelweave.session import materialise
 from labelweave.sources import sinks
 
 
@@ -59,36 +60,53 @@ def train(df, key="key", **settings):
     return Tagger(model, start, moves)
 
 
-def tag_texts(tagger, df, *keys, truth=None):
-    """Rows with ``tokens`` to the same keys with tagged tokens.
+def with_tagged_tokens(df, emissions, names, start, moves, truth=None):
+    """All rows of ``df``, their ``tokens`` tagged along the best path.
+
+    ``emissions`` turns context rows into rows with ``probabilities``. A row's
+    identity is a number that is written with it: equal texts stay apart, and
+    none gathers more than its own tokens. A row without tokens keeps none; all
+    other columns stay.
+    """
+    held = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    scored = emissions(tg.context_rows(held.select("_row", "tokens"), "_row", tag=truth))
+    tagged = tg.decode_rows(scored, ["_row"], names, start, moves, truth)
+    joined = held.drop("tokens").join(tagged, "_row", "left")
+    nothing = F.array().cast(tagged.schema["tokens"].dataType)
+    return joined.withColumn("tokens", F.coalesce("tokens", nothing)).drop("_row")
+
+
+def tag_texts(tagger, df, truth=None):
+    """Rows with ``tokens`` to the same rows with tagged tokens.
 
     Tokens need no tags; with ``truth="tag"`` those they have are kept beside
     the predicted ones.
     """
-    rows = tg.context_rows(df, *keys, tag=truth)
-    scored = tg.scored_rows(tagger.model, rows)
-    return tg.decode_rows(scored, list(keys), tagger.names, tagger.start, tagger.moves, truth)
+    return with_tagged_tokens(df, lambda rows: tg.scored_rows(tagger.model, rows), tagger.names,
+                              tagger.start, tagger.moves, truth)
 
 
 def score(tagger, df, key="key"):
     """Token rows with truth and prediction."""
-    rows = unfold(tag_texts(tagger, df, key, truth="tag"), [key], "tokens")
+    rows = unfold(tag_texts(tagger, df.select(key, "tokens"), truth="tag"), [key], "tokens")
     return rows.select(key, "pos", "item.token", "item.target",
                        F.col("item.tag").alias("prediction"))
 
 
-def tokenise_texts(df, *keys, text="text"):
-    """Free text to sentences, each with its tokens; empty sentences drop out."""
-    rows = tok.sentence_rows(tok.with_sentences(df, text), *keys)
-    words = F.transform(tx.tokens(F.col("sentence")),
+def tokenise_texts(df, text="text"):
+    """Free text with its tokens, over all its sentences; every row stays."""
+    words = F.transform(tx.tokens(F.coalesce(F.col(text), F.lit(""))),
                         lambda token: F.struct(token.alias("token")))
-    return rows.select(*keys, "sentence_no", words.alias("tokens"))
+    return df.withColumn("tokens", words)
+
+
+def records_of(tagged, *keys, text="text", labels=fixed.LABELS, mode="glue"):
+    """Keys, original text and a column per label of every tagged row."""
+    return wide.wide_record(wide.with_chunks(tagged, mode=mode), *keys, text=text, labels=labels)
 
 
 def extract_records(tagger, df, *keys, text="text", labels=fixed.LABELS, mode="glue"):
-    """One wide record per sentence of free text: a column per label."""
-    sentences = tokenise_texts(df, *keys, text=text)
-    tagged = tag_texts(tagger, sentences, *keys, "sentence_no")
-    named = tagged.withColumn("text", F.array_join("tokens.token", " "))
-    return wide.wide_record(wide.with_chunks(named, mode=mode), *keys, "sentence_no",
-                            labels=labels)
+    """One wide record per row of free text: its keys, the text as it was, and a
+    column per label. Empty and null texts give a record without labels."""
+    tagged = tag_texts(tagger, tokenise_texts(df.select(*keys, text), text))
+    return records_of(tagged, *keys, text=text, labels=labels, mode=mode)

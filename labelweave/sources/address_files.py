@@ -26,10 +26,12 @@ def read_tree(spark, root, sep=",", stream=False):
     return with_path(reader.schema(POSITIONAL_SCHEMA).options(sep=sep, **_CSV).csv(root))
 
 
-def read_raw_lines(spark, root, header=",".join(fixed.FILE_HEADER)):
-    """The same files as unparsed lines, header lines left out."""
-    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.csv").text(root)
-    return with_path(lines).filter(F.col("value") != header)
+def read_raw_lines(spark, root):
+    """The same files as unparsed lines without the first line of each file,
+    whatever it says. A separator and quote that no line holds leave lines whole."""
+    return with_path(spark.read.schema("value string").options(
+        header="true", sep="\u0001", quote="", enforceSchema="true", recursiveFileLookup="true",
+        pathGlobFilter="*.csv").csv(root))
 
 
 def with_parts(df, root, path="path", name="parts", readable=True):

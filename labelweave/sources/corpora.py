@@ -6,10 +6,14 @@ from labelweave import fixed
 
 
 def _blocks(spark, paths):
-    return (spark.read.option("lineSep", "\n\n").text(paths)
+    """Blocks between blank lines. Files with plain line ends are split on read;
+    blank lines with carriage returns or blanks in them separate blocks too."""
+    read = (spark.read.option("lineSep", "\n\n").text(paths)
             .select("value", F.col("_metadata.file_path").alias("path"),
-                    F.col("_metadata.file_block_start").alias("block_start"),
-                    F.monotonically_increasing_id().alias("doc_no")))
+                    F.col("_metadata.file_block_start").alias("block_start")))
+    split = F.split(F.replace("value", F.lit("\r"), F.lit("")), "\n[ \\t]*\n")
+    return read.withColumn("value", F.explode(split)).withColumn(
+        "doc_no", F.monotonically_increasing_id())
 
 
 _LINES = ("filter(transform(split(value, '\\n'), line -> trim(line)), "
@@ -34,8 +38,8 @@ def read_conll(spark, paths):
 def concatenate(spark, paths):
     """Document blocks of several corpora with the rank of their source.
 
-    Sorting by (source_rank, block_start, doc_no) gives the order of the files
-    laid end to end.
+    Sorting by (source_rank, path, block_start, doc_no) gives the order of the
+    files laid end to end, those of one source by name.
     """
     ranked = None
     for rank, path in enumerate(paths):

@@ -6,14 +6,20 @@ from labelweave import fixed
 from labelweave.functions import fields as fx
 
 # Every spelling a component may have, mapped to its label.
-_SPELLINGS = [(name, fx.label_of_header(name))
-              for label in fixed.COMPONENTS for name in (label, label.upper())]
+_SPELLINGS = [(spelled, fx.label_of_header(name))
+              for name in dict.fromkeys([c.upper() for c in fixed.COMPONENTS] + list(fixed.HEADER_LABELS))
+              if fx.label_of_header(name) in fixed.COMPONENTS
+              for spelled in (name.lower(), name)]
+
+
+def geocoder_results(line):
+    """Results of a JSON line, null where it cannot be read as such."""
+    return F.from_json(line, "array<struct<components:map<string,string>>>")
 
 
 def geocoder_pairs(line):
     """Known components of the first result of a JSON line, as label/value list."""
-    results = F.from_json(line, "array<struct<components:map<string,string>>>")
-    components = F.get(results, F.lit(0))["components"]
+    components = F.get(geocoder_results(line), F.lit(0))["components"]
     return fx.label_value_list(
         [(label, F.try_element_at(components, F.lit(name))) for name, label in _SPELLINGS])
 
@@ -21,10 +27,22 @@ def geocoder_pairs(line):
 GEOCODER_FILES = "*inputdict.txt"
 
 
-def read_geocoder_lines(spark, paths, stream=False, files=GEOCODER_FILES):
-    """JSON lines of a geocoder, one pair list per line."""
+def _geocoder_lines(spark, paths, stream, files):
     reader = spark.readStream if stream else spark.read
     lines = reader.options(recursiveFileLookup="true", pathGlobFilter=files).text(paths)
+    return lines.withColumn("_results", geocoder_results(F.col("value")))
+
+
+def unreadable_geocoder_lines(spark, paths, stream=False, files=GEOCODER_FILES):
+    """Path and text of the lines that hold no result of a geocoder."""
+    lines = _geocoder_lines(spark, paths, stream, files).filter(F.coalesce(F.size("_results"), F.lit(0)) <= 0)
+    return lines.select(F.col("_metadata.file_path").alias("path"), "value")
+
+
+def read_geocoder_lines(spark, paths, stream=False, files=GEOCODER_FILES):
+    """JSON lines of a geocoder, one pair list per line. Unreadable lines and
+    lines without a result give nothing; see ``unreadable_geocoder_lines``."""
+    lines = _geocoder_lines(spark, paths, stream, files).filter(F.size("_results") > 0)
     return lines.select(F.col("_metadata.file_path").alias("path"), "value",
                         geocoder_pairs(F.col("value")).alias("pairs"))
 

@@ -60,10 +60,11 @@ def write_records(df, path, mode="errorifexists"):
 
 
 def write_concatenated(ranked, path):
-    """Corpora end to end: files in rank and block order."""
-    ordered = ranked.orderBy("source_rank", "block_start", "doc_no")
-    ordered.select(F.concat(F.rtrim("value", F.lit("\n")), F.lit("\n")).alias("value")) \
-        .write.text(path)
+    """Corpora end to end: files in rank, name and block order; blocks without
+    a line are left out."""
+    block = F.trim("value", F.lit("\n"))
+    ordered = ranked.filter(F.trim(block) != "").orderBy("source_rank", "path", "block_start", "doc_no")
+    ordered.select(F.concat(block, F.lit("\n")).alias("value")).write.text(path)
 
 
 def save_model(model, path):

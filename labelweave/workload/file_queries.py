@@ -10,7 +10,7 @@ from labelweave.functions import labels as lx
 from labelweave.operators import labelling as lab
 from labelweave.operators import records as rec
 from labelweave.operators import wide
-from labelweave.operators.sampling import with_split
+from labelweave.operators.sampling import with_row_index, with_split
 from labelweave.session import fresh_dir
 from labelweave.sources import address_files as af
 from labelweave.sources import corpora
@@ -417,21 +417,26 @@ def k7(spark, sf_dir):
 
 @query("k8_concatenated_corpora", sql.labelled() + """,
 docs as (select key, string_agg(concat(token, ' NN NN ', tag), '|' order by pos) as block
-         from tokens group by key)
-select cast(0 as bigint) as source_rank, block from docs where key % 2 = 0
-union all select cast(1 as bigint), block from docs where key % 2 = 1
-union all select cast(2 as bigint), block from docs where key % 2 = 0""")
+         from tokens group by key),
+ranked as (
+  select 0 as source_rank, key, block from docs where key % 2 = 0
+  union all select 1, key, block from docs where key % 2 = 1
+  union all select 2, key, block from docs where key % 2 = 0)
+select row_number() over (order by source_rank, key) as position, block from ranked""")
 def k8(spark, sf_dir):
     root = fresh_dir(spark, "parts")
     base = views.plain_labelled(spark, sf_dir)
     for name, rest in (("even", 0), ("odd", 1)):
-        sinks.write_conll(sinks.conll_blocks(base.filter(F.col("key") % 2 == rest)),
-                          f"{root}/{name}")
+        # In key order over several files, so that the order of files shows.
+        part = base.filter(F.col("key") % 2 == rest).repartitionByRange(3, "key").sortWithinPartitions("key")
+        sinks.write_conll(sinks.conll_blocks(part), f"{root}/{name}")
     ranked = corpora.concatenate(spark, [f"{root}/even", f"{root}/odd", f"{root}/even"])
-    blocks = ranked.filter(F.trim("value", F.lit("\n")) != fixed.DOCSTART)
-    joined = F.array_join(F.transform(F.split(F.trim("value", F.lit("\n")), "\n"),
-                                      lambda line: F.trim(line)), "|")
-    return blocks.select("source_rank", joined.alias("block")).filter("block <> ''")
+    sinks.write_concatenated(ranked.filter(F.trim("value", F.lit("\n")) != fixed.DOCSTART), f"{root}/joined")
+    joined = corpora.concatenate(spark, [f"{root}/joined"])
+    block = F.array_join(F.transform(F.split(F.trim("value", F.lit("\n")), "\n"), lambda line: F.trim(line)), "|")
+    numbered = with_row_index(joined.withColumn("block", block).filter("block <> ''"),
+                              ["source_rank", "path", "block_start", "doc_no"], name="position")
+    return numbered.select((F.col("position") + 1).alias("position"), "block")
 
 
 @query("k9_entity_dump_repair", sql.labelled() + f"""

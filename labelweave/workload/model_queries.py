@@ -98,8 +98,7 @@ select cast(n as bigint) as n, term, doc_freq,
             else 0.0 end as idf from frequencies""")
 def c9(spark, sf_dir):
     words = materialise(views.document_words(spark, sf_dir), "words")
-    terms = materialise(tc.vocabulary(words), "vocabulary")
-    idf = tc.inverse_document_frequency(words, terms)
+    idf = tc.inverse_document_frequency(words.count(), tc.vocabulary(words, doc_freq=True))
     return idf.withColumn("idf", F.round("idf", 6))
 
 
@@ -248,11 +247,12 @@ transitions as (
 
 @query("g4_tag_order", sql.labelled(_TRANSITIONS) + """
 select previous, tag, n, cast(total as bigint) as total,
-       round(ln((n + 1.0::double) / (total + 9.0::double)), 6) as log_probability
+       round(ln((n + 1.0::double) / (total + (select count(distinct tag) from tokens)::double)), 6) as log_probability
 from transitions""")
 def g4(spark, sf_dir):
     counts = tg.transition_counts(views.plain_labelled(spark, sf_dir), "tokens.tag")
-    return tg.transition_scores(counts, 9).withColumn(
+    n_tags = tok.tag_set(views.tag_rows(spark, sf_dir)).count()
+    return tg.transition_scores(counts, n_tags).withColumn(
         "log_probability", F.round("log_probability", 6))
 
 
@@ -298,33 +298,69 @@ def g5(spark, sf_dir):
     return unfold(decoded, ["key"], "tokens.tag", value="tag")
 
 
-@query("g6_predict_records")
+_ODD_TEXTS = ((-1, ""), (-2, None), (-3, "?!"), (-4, "70 York St. Toronto Ontario"), (-5, "...Main Road"),
+              (-6, "70 York St. Toronto Ontario"))
+_ODD_SQL = ", ".join(f"({k}, {'null' if t is None else sql.quote(t)})" for k, t in _ODD_TEXTS)
+_FREE = f"""texts as (
+  select key, string_agg(token, ' ' order by pos) as text from tokens group by key
+  union all select * from (values {_ODD_SQL}) odd(key, text)),
+free as (
+  select key, unnest(range(0, len(t))) as pos, unnest(t) as token
+  from (select key, regexp_extract_all(text, {sql.quote(tx.TOKEN)}) as t from texts))"""
+_FREE_DECODE = (_DECODE.replace("from tokens k join totals", "from free k left join totals")
+                .replace("(w.total + t)", "(coalesce(w.total, 0) + t)")
+                .replace("(select key, max(pos) as last from tokens", "(select key, max(pos) as last from free")
+                .rpartition("select key, cast(unnest(range")[0].rstrip())
+_RECORDS = """predicted as (
+  select f.key, f.pos, f.token, p.path[f.pos + 1] as tag from free f join final p on f.key = p.key),
+islands as (
+  select *, sum((tag like 'B-%')::int) over (partition by key order by pos) as island from predicted),
+chunks as (
+  select key, island, arg_min(substr(tag, 3), pos) as label, string_agg(token, ' ' order by pos) as chunk
+  from islands where island > 0 and (tag like 'B-%' or tag like 'I-%') group by key, island)"""
+_LAST = ", ".join(f"arg_max(chunk, island) filter (label = '{label}') as {label}" for label in fixed.LABELS)
+
+
+def _counted_tags(spark, sf_dir):
+    """Emissions by counts, tags and their order, learned on all labelled rows."""
+    rows = views.tag_rows(spark, sf_dir)
+    names = sorted(row["tag"] for row in tok.tag_set(rows).collect())  # one row per tag
+    counts = tg.transition_counts(views.plain_labelled(spark, sf_dir), "tokens.tag")
+    start, moves = tg.transition_matrix(counts, names)
+    return (lambda tokens: tg.count_emissions(tokens, rows, names)), names, start, moves
+
+
+@query("g6_predict_records", sql.labelled(_TRANSITIONS) + "," + ",\n".join([_FREE, _FREE_DECODE, _RECORDS]) + f"""
+select t.key, t.text, {', '.join('w.' + label for label in fixed.LABELS)}
+from texts t left join (select key, {_LAST} from chunks group by key) w on t.key = w.key""")
 def g6(spark, sf_dir):
-    tagger, held_out = _trained(spark, sf_dir)
-    texts = held_out.select("key", "text")
-    return tagging.extract_records(tagger, texts, "key")
+    texts = views.plain_labelled(spark, sf_dir).select("key", "text").unionByName(
+        spark.createDataFrame(_ODD_TEXTS, "key bigint, text string"))
+    tagged = tagging.with_tagged_tokens(tagging.tokenise_texts(texts), *_counted_tags(spark, sf_dir))
+    return tagging.records_of(tagged, "key")
 
 
 @query("g7_softmax_threshold", """
-with scores as (select vec_id, embedding[1:10] as v from embeddings),
+with scores as (select vec_id, embedding as v from embeddings),
 shares as (
-  select vec_id, unnest(range(0, 10)) as pos, unnest(v) as s,
+  select vec_id, unnest(range(0, len(v))) as pos, unnest(v) as s,
          list_reduce(list_transform(v, lambda x: exp(x::double)), lambda a, b: a + b) as total
   from scores)
 select vec_id, cast(pos as bigint) as pos,
-       round(case when exp(s::double) / total >= 0.1 then exp(s::double) / total else 0 end, 6)
+       round(case when exp(s::double) / total >= 0.02 then exp(s::double) / total else 0 end, 6)
          as probability
 from shares""")
 def g7(spark, sf_dir):
     e = views.table(spark, sf_dir, "embeddings")
-    scores = e.select("vec_id", F.slice("embedding", 1, 10).cast("array<double>").alias("v"))
-    soft = scores.select("vec_id", F.posexplode(tg.softmax("v", 0.1)).alias("pos", "p"))
+    scores = e.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    soft = scores.select("vec_id", F.posexplode(tg.softmax("v", 0.02)).alias("pos", "p"))
     return soft.select("vec_id", F.col("pos").cast("bigint").alias("pos"),
                        F.round("p", 6).alias("probability"))
 
 
 _TEXTS = f"""sentences as (
-  select conv_id * 100000 + turn * 1000 + unnest(range(0, len(s))) as key, unnest(s) as sentence
+  select concat_ws('-', lpad(conv_id::varchar, 19, '0'), lpad(turn::varchar, 19, '0'),
+                   lpad(unnest(range(0, len(s)))::varchar, 10, '0')) as key, unnest(s) as sentence
   from (select conv_id, turn, list_transform(regexp_extract_all(text, {sql.quote(tx.SENTENCE)}),
                                              lambda x: trim(x)) as s from conversations)),
 lengths as (
@@ -340,7 +376,8 @@ batched as (
 def _sentences(spark, sf_dir):
     c = tok.with_sentences(views.wide_table(spark, sf_dir, "conversations", "conv_id", "turn", "text"))
     rows = tok.sentence_rows(c, "conv_id", "turn")
-    key = F.col("conv_id") * 100000 + F.col("turn") * 1000 + F.col("sentence_no")
+    key = F.concat_ws("-", *[F.lpad(F.col(c).cast("string"), n, "0") for c, n in (
+        ("conv_id", 19), ("turn", 19), ("sentence_no", 10))])
     split = rows.select(key.alias("key"), tx.tokens(F.col("sentence")).alias("words"))
     return split.withColumn("bucket", tok.length_bucket(F.size("words")))
 

@@ -78,19 +78,19 @@ def t16(spark, sf_dir):
 
 
 @query("t17_single_sentence_rows", f"""
-select doc_id, text from documents where len(regexp_extract_all(text, {_SENTENCE})) <= 1
+select doc_id, cast(-1 as bigint) as turn, text from documents where len(regexp_extract_all(text, {_SENTENCE})) <= 1
 union all
-select item_id, text from benchmark where len(regexp_extract_all(text, {_SENTENCE})) <= 1
+select item_id, -1, text from benchmark where len(regexp_extract_all(text, {_SENTENCE})) <= 1
 union all
-select conv_id * 1000 + turn, text from conversations
+select conv_id, turn, text from conversations
 where len(regexp_extract_all(text, {_SENTENCE})) <= 1""")
 def t17(spark, sf_dir):
-    d = views.wide_table(spark, sf_dir, "documents", "doc_id", "text")
-    b = views.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    c = views.table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+    none = F.lit(-1).cast("bigint").alias("turn")
+    d = views.wide_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", none, "text")
+    b = views.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), none, "text")
+    c = views.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", "text")
     texts = tok.with_sentences(d.unionByName(b).unionByName(c))
-    return tok.single_sentence_rows(texts).select("doc_id", "text")
+    return tok.single_sentence_rows(texts).select("doc_id", "turn", "text")
 
 
 def _arrays(spark, sf_dir):
