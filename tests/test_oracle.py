@@ -6,7 +6,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from labelweave.workload import catalogue as contract
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
