@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import pytest
 
+from __spark_entry__ import entry
 from labelweave.workload import catalogue as contract
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -55,4 +56,4 @@ def test_query_without_sql_has_rows(spark, sf_dir, name):
 
 
 def test_entry_has_rows(spark):
-    assert contract.entry(spark).count() > 0
+    assert entry(spark).count() > 0
