@@ -3,6 +3,7 @@
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,7 +31,8 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", master=f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-        "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+        "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="labelweave-bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     registered = catalogue.queries()
     registered["t3_bio_tags"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -1,5 +1,7 @@
 """Files that arrive over time, labelled and appended to a train and a test corpus."""
 
+from fnmatch import fnmatch
+
 from pyspark.sql import functions as F
 
 from labelweave import fixed
@@ -11,6 +13,7 @@ from labelweave.sources import address_files as af
 from labelweave.sources import described
 from labelweave.sources.sinks import conll_blocks
 
+_FILES = "path string, modificationTime timestamp, length long, content binary"  # of Spark's reader
 _DROPPED = ("lon", "lat", "state_district", "id", "hash")
 _KEPT = [label for label in fixed.FILE_LABELS if label not in _DROPPED]
 
@@ -21,48 +24,69 @@ def _keyed_pairs(df, pairs):
     return df.select(F.md5(content).alias("key"), pairs.alias("pairs"))
 
 
-def csv_pairs(spark, root, sep=",", stream=True):
-    rows = af.read_tree(spark, root, sep, stream)
-    listed = fx.label_value_list([(label, fx.empty_to_null(F.col(label))) for label in _KEPT])
-    return _keyed_pairs(rows, listed)
+def csv_pairs(spark, paths, sep=","):
+    """Rows of CSV files, each mapped by the names in its own header line."""
+    rows = af.read_by_header(spark, paths, sep)
+    held = [label for label in _KEPT if label in rows.columns]
+    return _keyed_pairs(rows, fx.label_value_list([(label, fx.empty_to_null(F.col(label))) for label in held]))
 
 
-def json_pairs(spark, root, stream=True, files=described.GEOCODER_FILES):
-    rows = described.read_geocoder_lines(spark, root, stream, files)
+def json_pairs(spark, paths):
+    """Geocoder lines; see ``described.unreadable_geocoder_lines`` for the others."""
+    rows = described.read_geocoder_lines(spark, paths, files="*")
     return _keyed_pairs(rows, F.col("pairs"))
 
 
+def uploads_of(spark, paths, json_files=described.GEOCODER_FILES):
+    """Files told apart by name: ``.csv``, geocoder files, and all others, which
+    are left alone. None if no file is of use."""
+    name = lambda path: fx.plain_location(path).rsplit("/", 1)[-1]
+    tables = [path for path in paths if name(path).endswith(".csv")]
+    lines = [path for path in paths if path not in set(tables) and fnmatch(name(path), json_files)]
+    plain = lambda some: sorted(fx.plain_location(path) for path in some)
+    found = [csv_pairs(spark, plain(tables))] if tables else []
+    found += [json_pairs(spark, plain(lines))] if lines else []
+    return found[0].unionByName(found[1]) if len(found) > 1 else (found or [None])[0]
+
+
+def uploads(spark, root, json_files=described.GEOCODER_FILES):
+    """All uploads of a folder at once."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    return uploads_of(spark, [row["path"] for row in listed.toLocalIterator()], json_files)
+
+
 def label_uploads(pairs, augmentation=PRESETS["full"], tag_mode="by_token"):
     """Order, tag and split; row by row, so batch and stream agree."""
     ordered = lab.with_order(pairs, "key", augmentation)
     return with_split(lab.label_pairs(ordered, tag_mode=tag_mode), "key")
 
 
-def uploads(spark, root, stream=True, json_files=described.GEOCODER_FILES):
-    """``.csv`` files and geocoder files, told by name; all others are left alone."""
-    return csv_pairs(spark, root, stream=stream).unionByName(
-        json_pairs(spark, root, stream, json_files))
-
-
 def run_ingest(spark, root, out, checkpoint, sink="conll",
                json_files=described.GEOCODER_FILES, **settings):
-    """Takes in what has arrived since the last run, exactly once, and stops.
+    """Takes in what has arrived since the last run, and stops.
 
-    The checkpoint lies in the shared folder of the caller. Both splits go out
-    through one query, as one folder each.
+    The stream is of file names; a file's content is read once its header is
+    known, so that columns go by name. Every batch writes a folder of its own,
+    ``batch=<number>/split=<name>``, and a repeated batch replaces it: each file
+    is taken exactly once. The checkpoint lies in the shared folder of the caller.
     """
-    labelled = label_uploads(uploads(spark, root, True, json_files), **settings)
-    if sink == "conll":
-        blocks = conll_blocks(labelled, keep=("split",))
-        head = F.lit(f"{fixed.DOCSTART}\n\n")
-        rows = blocks.select("split", F.concat(head, "block").alias("value"))
-        writer = rows.writeStream.format("text")
-    else:
-        annotated = lab.annotate(labelled)
-        writer = annotated.select("key", "text", "label", "split").writeStream.format("parquet")
-    query = (writer.partitionBy("split").option("path", out)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    names = (spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", "true")
+             .load(root).select("path"))
+
+    def take(batch, number):
+        pairs = uploads_of(batch.sparkSession, [row["path"] for row in batch.toLocalIterator()], json_files)
+        if pairs is None:
+            return
+        labelled = label_uploads(pairs, **settings)
+        if sink == "conll":
+            blocks = conll_blocks(labelled, keep=("split",))
+            head = F.lit(f"{fixed.DOCSTART}\n\n")
+            writer = blocks.select("split", F.concat(head, "block").alias("value")).write.format("text")
+        else:
+            writer = lab.annotate(labelled).select("key", "text", "label", "split").write.format("parquet")
+        writer.mode("overwrite").partitionBy("split").save(f"{out.rstrip('/')}/batch={number}")
+
+    query = (names.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
-
-

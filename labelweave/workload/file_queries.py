@@ -466,7 +466,11 @@ def _uploads_folder(spark, sf_dir):
     held = {label: F.col(label) for label in views.ADDRESS_COLUMNS}
     named = [held.get(label, F.lit(None).cast("string")).alias(header)
              for header, label in zip(fixed.FILE_HEADER, fixed.FILE_LABELS)]
-    a.filter("key % 2 = 0").select(*named).write.option("header", "true").csv(f"{root}/csv")
+    a.filter("key % 4 = 0").select(*named).write.option("header", "true").csv(f"{root}/csv")
+    # A second layout: other columns in another order, under other names.
+    other = [F.col("postcode").alias("POSTCODE"), F.col("city").alias("City"), F.col("road").alias("Road"),
+             F.col("house_number").alias("House Number"), F.col("unit").alias("Unit"), F.col("state").alias("State")]
+    a.filter("key % 4 = 2").select(*other).write.option("header", "true").csv(f"{root}/more")
     a.filter("key % 2 = 1").select(_geocoder_json(a).alias("value")).write.text(f"{root}/lines")
     a.select("city").write.json(f"{root}/other")
     return root
@@ -512,7 +516,7 @@ def st3(spark, sf_dir):
     out = _ingested(spark, root, sink="parquet", json_files=_JSON_FILES)
     columns = ["key", "split", "text"]
     streamed = spark.read.parquet(out).select(*columns, F.lit(1).alias("s"), F.lit(0).alias("b"))
-    batch = ingest.label_uploads(ingest.uploads(spark, root, False, _JSON_FILES)).select(
+    batch = ingest.label_uploads(ingest.uploads(spark, root, _JSON_FILES)).select(
         *columns, F.lit(0).alias("s"), F.lit(1).alias("b"))
     # Equal rows are counted on both sides, in one shuffle.
     both = streamed.unionByName(batch).groupBy(*columns).agg(
