@@ -193,4 +193,4 @@ def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = train(docs.select("doc_id", "text", "lang"))
     return predict(docs.select("doc_id", "text"), model).select(
-        "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")
+        "doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
