@@ -69,6 +69,9 @@ def test_toxicity_learns_expressions(spark, odd_documents):
     rows = toxicity.score(docs, model).join(labels, "doc_id").collect()
     out = [r for r in rows if held(r["doc_id"], 3, 1)]
     assert all(r["predicted"] == r["toxic"] for r in out)
+    joined = toxicity.score(docs, model, most_in_tasks=0).collect()
+    assert {r["doc_id"]: round(r["score"], 9) for r in joined} == {
+        r["doc_id"]: round(r["score"], 9) for r in toxicity.score(docs, model).collect()}
     odd = toxicity.score(odd_documents.withColumn("score", F.lit("clash")), model).collect()
     assert len(odd) == odd_documents.count() and all(r["predicted"] == 0 and 0 <= r["score"] <= 1 for r in odd)
     assert toxicity.score(odd_documents.limit(0), model).count() == 0
