@@ -115,10 +115,25 @@ def document_blocks(placed, block):
             .withColumn("words", end - F.greatest(F.col("begin"), F.col("block") * block)))
 
 
-def mix(df):
+def taken_to_target(placed):
+    """taken of every document when its source is taken to its target, to a word:
+    whole passes, and the first words of the shuffled source for what is left."""
+    goal = F.least(F.round("target").cast("long"), MAX_PASSES * F.col("source_size"))
+    rest = F.try_mod(goal, F.col("source_size"))
+    part = F.greatest(F.least(F.col("begin") + F.col("size"), rest) - F.col("begin"), F.lit(0))
+    passes = F.floor((goal - rest) / F.col("source_size"))
+    return placed.withColumn("taken", F.when(F.col("source_size") > 0, passes * F.col("size") + part)
+                             .otherwise(0).cast("long"))
+
+
+def mix(df, to_target=False):
     """One row per document: doc_id, source, digest (md5 of the text), size,
     source_size, target, taken.
 
+    Above SLOTS words a slot takes several, and a source of few blocks misses its
+    target or is left out; with ``to_target`` sources are then taken to their
+    targets instead.
+
     A null text has no words; it is taken nowhere. A null source is a source.
     Repeated rows are documents of their own. An empty table gives no rows.
     """
@@ -127,6 +142,9 @@ def mix(df):
     total = sized.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
     block = max(1, -(-total // SLOTS))
     sources = materialise(source_targets(sized), "sources")
+    if to_target and block > 1:
+        return taken_to_target(shuffled(sized, sources)).select(
+            "doc_id", "source", "digest", "size", "source_size", "target", "taken")
     times = (schedule(sources, total, block).groupBy("source_no", "block")
              .agg(F.count("*").alias("times")))
     parts = document_blocks(shuffled(sized, sources), block)
@@ -137,7 +155,8 @@ def mix(df):
 
 
 def mixed_documents(df):
-    """The rows of ``df`` as often as the mix takes them, with all columns.
+    """The rows of ``df`` as often as the mix takes them, with all columns, every
+    source to its target.
 
     A document taken n times its size gives n rows. The one document of a source
     at which its last pass ends gives a further row with the words taken of it,
@@ -145,7 +164,7 @@ def mixed_documents(df):
     """
     key = ["doc_id", "source", "digest"]
     same = Window.partitionBy(*key).orderBy("taken")
-    taken = mix(df).select(*key, "size", "taken", F.row_number().over(same).alias("__nth"))
+    taken = mix(df, to_target=True).select(*key, "size", "taken", F.row_number().over(same).alias("__nth"))
     taken = taken.select(*[F.col(c).alias(f"__{c}") for c in (*key, "size", "taken")], "__nth")
     rows = df.withColumn("__md5", F.md5(whole_text()))
     rows = rows.withColumn("__of", F.row_number().over(

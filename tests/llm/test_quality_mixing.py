@@ -108,3 +108,16 @@ def test_schedule_keeps_proportions_in_every_stretch(spark):
         assert all(abs(part[s] - 100 * share[s]) <= 4 for s in share)
     for s in share:
         assert [r["rank"] for r in slots if r["source_no"] == s] == list(range(sum(r["source_no"] == s for r in slots)))
+
+
+def test_small_sources_beside_a_huge_one_meet_their_targets(spark):
+    rows = [(i, "w " * 10000, "huge", 20000) for i in range(40)]
+    rows += [(1000 + i, "w " * (5 + i % 3), f"s{i // 2 % 300}", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(4)
+    by = mixing.mix(docs, to_target=True).groupBy("source").agg(F.sum("taken"), F.first("target")).collect()
+    assert len(by) == 301 and all(abs(taken - target) <= 1 for _, taken, target in by)
+    words = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        words[r["source"]] += len(WORD.findall(r["text"]))
+    assert {s: taken for s, taken, _ in by} == dict(words)
+    assert all(abs(words[s] - target) <= 1 for s, _, target in by)
