@@ -146,3 +146,25 @@ def test_search_of_odd_vectors(spark):
     assert by == {0: list(range(1, 11)), 100: list(range(10))}
     nothing = frame.limit(0)
     assert hnsw.search_index(hnsw.build_index(nothing), nothing).count() == 0
+
+
+def test_rare_words_and_phrases_of_ordinary_words_tell(spark):
+    """Insults of about five learning texts each, below a fixed cut of 30, and a phrase
+    of two words that ordinary texts use as well."""
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 9 == 0
+        words = list(rng.choice([f"w{j}" for j in range(60)], 40))
+        if toxic:
+            words[10:10] = ["go", "home"] if i % 2 else [f"slur{i // 18 % 6}"]
+        elif i % 4 == 1:
+            words[10:10], words[30:30] = ["go"], ["home"]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = [r for r in toxicity.score(docs, toxicity.train(docs, marks)).join(marks, "doc_id").collect()
+           if held(r["doc_id"], 3, 1)]
+    toxic = [r["predicted"] for r in out if r["toxic"]]
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(r["predicted"] for r in out if not r["toxic"]) <= 0.01 * len(out)
