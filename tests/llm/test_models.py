@@ -168,3 +168,13 @@ def test_rare_words_and_phrases_of_ordinary_words_tell(spark):
            if held(r["doc_id"], 3, 1)]
     toxic = [r["predicted"] for r in out if r["toxic"]]
     assert sum(toxic) >= 0.9 * len(toxic) and sum(r["predicted"] for r in out if not r["toxic"]) <= 0.01 * len(out)
+
+
+def test_left_out_ratios_in_place_equal_the_joined_ones(spark):
+    docs, labels = toxic_table(spark)
+    learn = toxicity.distinct_texts(docs.limit(200), labels)
+    told = toxicity.fit(learn)
+    got, want = ({r["doc_id"]: list(r)[1:] for r in toxicity.left_out_ratios(learn, told, n).collect()}
+                 for n in (toxicity.TELLING_IN_TASKS, 0))
+    assert got.keys() == want.keys() and any(any(v[1:]) for v in got.values())
+    assert all(got[i] == pytest.approx(want[i], abs=1e-9) for i in want)
