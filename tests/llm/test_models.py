@@ -178,3 +178,10 @@ def test_left_out_ratios_in_place_equal_the_joined_ones(spark):
                  for n in (toxicity.TELLING_IN_TASKS, 0))
     assert got.keys() == want.keys() and any(any(v[1:]) for v in got.values())
     assert all(got[i] == pytest.approx(want[i], abs=1e-9) for i in want)
+
+
+def test_pairs_count_among_what_goes_to_the_tasks(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    ratios = spark.createDataFrame([("b", 1.0, {"a": 2.0, "c": 3.0, "d": 4.0})], "w string, ratio double, after map<string,double>")
+    plan = lambda n: toxicity.score(docs, (ratios, 0.0, 1.0), n)._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan(4) and "ArrowEvalPython" not in plan(3)
