@@ -2,7 +2,8 @@
 
 from functools import wraps
 
-from labelweave.llm import chat, hnsw, langid, mixing, order_minhash, packing, quality, token_counts, toxicity, warc
+from labelweave.llm import (
+    chat, hnsw, langid, mixing, order_minhash, packing, quality, token_counts, toxicity, turn_trie, vector_codes, warc)
 from labelweave.session import ship_package
 
 
@@ -25,6 +26,8 @@ QUERIES = {
     "op8_hnsw": hnsw.op8_hnsw,
     "op9_language_id": langid.op9_language_id,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_turn_trie": turn_trie.op13_turn_trie,
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 
@@ -33,4 +36,6 @@ ORACLES = {
     "op3_preference_formatting": chat.ORACLE,
     "op6_quality_rules": quality.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
+    "op13_turn_trie": turn_trie.ORACLE,
 }
