@@ -3,7 +3,8 @@
 from functools import wraps
 
 from labelweave.llm import (
-    chat, hnsw, langid, mixing, order_minhash, packing, quality, token_counts, toxicity, turn_trie, vector_codes, warc)
+    chat, hnsw, langid, mixing, order_minhash, packing, quality, token_counts, toxicity, trie_join, turn_trie,
+    vector_codes, warc)
 from labelweave.session import ship_package
 
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_hnsw": hnsw.op8_hnsw,
     "op9_language_id": langid.op9_language_id,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_trie_join": trie_join.op11_trie_join,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_turn_trie": turn_trie.op13_turn_trie,
 }
@@ -36,6 +38,7 @@ ORACLES = {
     "op3_preference_formatting": chat.ORACLE,
     "op6_quality_rules": quality.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op11_trie_join": trie_join.ORACLE,
     "op12_vector_codes": vector_codes.ORACLE,
     "op13_turn_trie": turn_trie.ORACLE,
 }
