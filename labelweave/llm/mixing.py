@@ -2,9 +2,11 @@
 
 Slots are numbered; the golden-ratio point of a slot's number falls on one source
 of the cumulative targets, so every stretch of the schedule holds the sources in
-proportion. Slots are ranked within their source. The documents of a source are
-shuffled and cut into blocks of equally many words, and the n-th slot of a source
-takes its n-th block, going around as often as needed. DataFrame functions only.
+proportion. Slots are ranked within their source. The words of a source, its
+documents shuffled, are walked round until its target is reached, and cut into as
+many equal blocks as the source has slots; the n-th slot takes the n-th block. So
+every source meets its target to a word, whatever its size beside the others.
+DataFrame functions only.
 """
 
 from pyspark.sql import Window
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from labelweave.llm.common import table, whole_text, word_array, word_count
 from labelweave.session import materialise
 
-SLOTS = 1 << 17  # slots of a whole schedule, at most; the block size follows
+SLOT_WORDS = 256  # of the mix to a slot
 MAX_PASSES = 3
 WEIGHTS = (1, 2, 3)  # of the sources in order, repeating
 GOLDEN = 0.6180339887498949
@@ -51,15 +53,14 @@ def source_targets(sized):
             .select("source", "source_no", "source_size", "target", "begin", "end"))
 
 
-def schedule(sources, total, block):
-    """slot, source_no, rank, pass and block of every slot of the mix.
+def schedule(sources, total, slot_words=SLOT_WORDS):
+    """slot, source_no and rank of every slot of the mix.
 
-    ``sources`` is a written table of source_targets. A slot beyond three passes
-    of its source (the schedule may overshoot a capped target by a slot or two)
-    stays empty and is left out.
+    ``sources`` is a written table of source_targets. A source with a target on
+    which no point falls gets one slot behind the others.
     """
     spark = sources.sparkSession
-    slots = -(-total // block)
+    slots = -(-total // slot_words)
     turn = F.col("slot") * F.lit(GOLDEN)
     points = (spark.range(slots).withColumnRenamed("id", "slot")
               .withColumn("point", turn - F.floor(turn))
@@ -67,20 +68,19 @@ def schedule(sources, total, block):
     cell = lambda c: F.least(F.floor(c / total * _GRID), F.lit(_GRID - 1))
     shares = (sources.where("target > 0")
               .withColumn("cell", F.explode(F.sequence(cell(F.col("begin")), cell(F.coalesce("end", F.lit(total))))))
-              .select("cell", "source_no", "source_size", "begin", "end"))
+              .select("cell", "source_no", "begin", "end"))
     placed = (points.join(shares, "cell")
-              .where("place >= begin and (end is null or place < end)")
-              .select("slot", "source_no", "source_size", F.floor(F.col("slot") / _RUN).alias("run")))
+              .where("place >= begin and (end is null or place < end)").select("slot", "source_no"))
+    placed = materialise(placed, "slots")
+    none = (sources.where("target > 0").join(placed.select("source_no").distinct(), "source_no", "left_anti")
+            .select((F.lit(slots) + F.col("source_no")).cast("long").alias("slot"), "source_no"))
+    placed = placed.unionByName(none).withColumn("run", F.floor(F.col("slot") / _RUN))
     starts = placed.groupBy("source_no", "run").count()
     starts = starts.select("source_no", "run", (F.sum("count").over(
         Window.partitionBy("source_no").orderBy("run")) - F.col("count")).alias("start"))
     within = F.row_number().over(Window.partitionBy("source_no", "run").orderBy("slot")) - 1
-    blocks = F.ceil(F.col("source_size") / block)
     return (placed.withColumn("within", within).join(starts, ["source_no", "run"])
-            .withColumn("rank", F.col("start") + F.col("within"))
-            .withColumns({"pass": F.floor(F.col("rank") / blocks), "block": F.col("rank") % blocks})
-            .where(F.col("pass") < MAX_PASSES)
-            .select("slot", "source_no", "rank", "pass", "block"))
+            .select("slot", "source_no", (F.col("start") + F.col("within")).alias("rank")))
 
 
 def shuffled(sized, sources):
@@ -105,34 +105,48 @@ def shuffled(sized, sources):
             .drop("before", "bucket_begin", "key"))
 
 
-def document_blocks(placed, block):
-    """A row per document and block that it reaches into, with the words it has
-    there; documents without words keep one row, of no block."""
-    first, last = F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("size") - 1) / block)
-    reach = F.when(F.col("size") > 0, F.sequence(first, last))
-    end = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block)
-    return (placed.withColumn("block", F.explode_outer(reach))
-            .withColumn("words", end - F.greatest(F.col("begin"), F.col("block") * block)))
+def _block_begin(rank):
+    """Where the block of a rank begins in the walk of its source: the first
+    ``longer`` of its slots take one word more than ``words``."""
+    return rank * F.col("words") + F.least(rank, F.col("longer"))
 
 
-def taken_to_target(placed):
-    """taken of every document when its source is taken to its target, to a word:
-    whole passes, and the first words of the shuffled source for what is left."""
-    goal = F.least(F.round("target").cast("long"), MAX_PASSES * F.col("source_size"))
-    rest = F.try_mod(goal, F.col("source_size"))
-    part = F.greatest(F.least(F.col("begin") + F.col("size"), rest) - F.col("begin"), F.lit(0))
-    passes = F.floor((goal - rest) / F.col("source_size"))
-    return placed.withColumn("taken", F.when(F.col("source_size") > 0, passes * F.col("size") + part)
-                             .otherwise(0).cast("long"))
-
+def _block_of(place):
+    """The rank of the block that a place of the walk is in."""
+    ahead = F.col("longer") * (F.col("words") + 1)
+    return F.when(place < ahead, F.floor(place / (F.col("words") + 1))).otherwise(
+        F.col("longer") + F.floor(F.try_divide(place - ahead, F.col("words"))))
 
-def mix(df, to_target=False):
-    """One row per document: doc_id, source, digest (md5 of the text), size,
-    source_size, target, taken.
 
-    Above SLOTS words a slot takes several, and a source of few blocks misses its
-    target or is left out; with ``to_target`` sources are then taken to their
-    targets instead.
+def pieces(placed, slots):
+    """A row per document, pass and slot that takes words of it: ``pass``, ``slot``,
+    ``from`` (the words of the document before the piece) and ``taken``. Documents
+    of which nothing is taken keep one row, with nulls. ``placed`` are the shuffled
+    documents, ``slots`` a written schedule.
+    """
+    counts = slots.groupBy("source_no").agg(F.count("*").alias("slots"))
+    goal = F.least(F.round("target").cast("long"), MAX_PASSES * F.col("source_size"))
+    walks = (placed.join(counts, "source_no", "left").withColumn("goal", goal)
+             .withColumns({"words": F.floor(F.col("goal") / F.col("slots")), "longer": F.col("goal") % F.col("slots")}))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(MAX_PASSES - 1)), lambda k: F.struct(
+        k.alias("pass"), (F.col("begin") + k * F.col("source_size")).alias("first"),
+        F.least(F.col("begin") + k * F.col("source_size") + F.col("size"), F.col("goal")).alias("last")))
+    some = F.when(F.col("slots").isNotNull(), F.filter(starts, lambda x: x.first < x.last))
+    walks = walks.withColumn("walk", F.explode_outer(some)).select("*", "walk.*").drop("walk")
+    ranks = F.sequence(_block_of(F.col("first")), _block_of(F.col("last") - 1))
+    reach = walks.withColumn("rank", F.explode_outer(F.when(F.col("first").isNotNull(), ranks)))
+    at = F.greatest(F.col("first"), _block_begin(F.col("rank")))
+    end = F.least(F.col("last"), _block_begin(F.col("rank") + 1))
+    return (reach.join(slots, ["source_no", "rank"], "left")
+            .withColumns({"from": at - F.col("first"), "taken": end - at})
+            .drop("words", "longer", "slots", "goal", "rank", "first", "last"))
+
+
+def mix(df):
+    """One row per document and pass that takes some of it: doc_id, source, digest
+    (md5 of the text), nth (among rows equal in these), size, source_size, target,
+    pass, slot (the first that takes of it), taken (words). A document of which
+    nothing is taken has one row, with null pass and slot and taken 0.
 
     A null text has no words; it is taken nowhere. A null source is a source.
     Repeated rows are documents of their own. An empty table gives no rows.
@@ -140,53 +154,44 @@ def mix(df, to_target=False):
     sized = materialise(df.select("doc_id", "source", F.md5(whole_text()).alias("digest"),
                                   word_count(whole_text()).alias("size")), "sizes")
     total = sized.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
-    block = max(1, -(-total // SLOTS))
     sources = materialise(source_targets(sized), "sources")
-    if to_target and block > 1:
-        return taken_to_target(shuffled(sized, sources)).select(
-            "doc_id", "source", "digest", "size", "source_size", "target", "taken")
-    times = (schedule(sources, total, block).groupBy("source_no", "block")
-             .agg(F.count("*").alias("times")))
-    parts = document_blocks(shuffled(sized, sources), block)
-    return (parts.join(times, ["source_no", "block"], "left")
-            .groupBy("doc_id", "source", "digest", "size", "source_no", "bucket", "nth", "source_size", "target")
-            .agg(F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).cast("long").alias("taken"))
-            .drop("source_no", "bucket", "nth"))
+    slots = materialise(schedule(sources, total), "schedule")
+    key = ["doc_id", "source", "digest"]
+    placed = shuffled(sized, sources).withColumn("nth", F.row_number().over(
+        Window.partitionBy("source_no", "bucket", "doc_id", "digest").orderBy("begin")))
+    return (pieces(placed, slots).groupBy(*key, "nth", "size", "source_size", "target", "pass")
+            .agg(F.min("slot").alias("slot"), F.coalesce(F.sum("taken"), F.lit(0)).alias("taken")))
 
 
 def mixed_documents(df):
-    """The rows of ``df`` as often as the mix takes them, with all columns, every
-    source to its target.
+    """The rows of ``df`` as often as the mix takes them, with all columns, in the
+    order of the schedule.
 
-    A document taken n times its size gives n rows. The one document of a source
-    at which its last pass ends gives a further row with the words taken of it,
+    A document is one row for every pass that takes it. The one document of a
+    source at which its last pass ends is, in that pass, the words taken of it,
     from its beginning. Documents that are not taken go.
     """
-    key = ["doc_id", "source", "digest"]
-    same = Window.partitionBy(*key).orderBy("taken")
-    taken = mix(df, to_target=True).select(*key, "size", "taken", F.row_number().over(same).alias("__nth"))
-    taken = taken.select(*[F.col(c).alias(f"__{c}") for c in (*key, "size", "taken")], "__nth")
-    rows = df.withColumn("__md5", F.md5(whole_text()))
-    rows = rows.withColumn("__of", F.row_number().over(
-        Window.partitionBy("doc_id", "source", "__md5").orderBy(F.lit(0))))
-    joined = rows.join(taken.where("__taken > 0"), F.col("doc_id").eqNullSafe(F.col("__doc_id"))
-                       & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__md5") == F.col("__digest"))
-                       & (F.col("__of") == F.col("__nth")))
-    rest = F.col("__taken") % F.col("__size")
-    whole = F.array_repeat(F.lit(0).cast("long"), F.floor(F.col("__taken") / F.col("__size")).cast("int"))
-    parts = F.concat(whole, F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    part = F.array_join(F.slice(word_array(whole_text()), F.lit(1), F.col("__part").cast("int")), " ")
-    cut = joined.withColumn("__part", F.explode(parts)).withColumn(
-        "text", F.when(F.col("__part") == 0, F.col("text")).otherwise(part))
+    whole = lambda *c: F.md5(F.to_json(F.struct(*c), {"ignoreNullFields": "false"}))
+    taken = mix(df).where("taken > 0").select(
+        whole("doc_id", "source", "digest").alias("__key"), F.col("nth").alias("__nth"),
+        F.col("size").alias("__size"), F.col("taken").alias("__taken"), F.col("slot").alias("__slot"))
+    # One key for the numbering and the join, so that the texts are moved once.
+    rows = df.withColumn("__key", whole("doc_id", "source", F.md5(whole_text()).alias("digest")))
+    rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(0))))
+    cut = F.col("__taken") < F.col("__size")
+    part = F.array_join(F.slice(word_array(whole_text()), F.lit(1), F.col("__taken").cast("int")), " ")
+    joined = rows.join(taken, ["__key", "__nth"]).withColumn("text", F.when(cut, part).otherwise(F.col("text")))
     if "n_chars" in df.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("__part") == 0, F.col("n_chars"))
-                             .otherwise(F.char_length("text")))
-    return cut.select(*df.columns)
+        joined = joined.withColumn("n_chars", F.when(cut, F.char_length("text")).otherwise(F.col("n_chars")))
+    ordered = joined.repartitionByRange("__slot", "__key").sortWithinPartitions("__slot", "__key", "__nth")
+    return ordered.select(*df.columns)
 
 
 def op7_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return (mix(docs).groupBy("doc_id", "source", "digest", "nth", "size", "source_size", "target")
+            .agg(F.sum("taken").cast("long").alias("taken"))
+            .select("doc_id", "size", "source_size", "target", "taken"))
 
 
 ORACLE = r"""
@@ -194,8 +199,7 @@ with sized as (
   select doc_id, source, md5(coalesce(text, '')) as digest,
          cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
   from documents),
-n as (
-  select sum(size) as total, greatest(1, cast(ceil(sum(size) / 131072) as bigint)) as block from sized),
+n as (select sum(size) as total from sized),
 a as (
   select source, cast(sum(size) as bigint) as source_size,
          row_number() over (order by source nulls last) as source_no from sized group by source),
@@ -210,30 +214,12 @@ lev as (
   from c, n where (total - spent) / ahead <= room),
 t as (
   select source, source_no, source_size, least(cast(most as double), level * weight) as target from c, lev),
-s as (
-  select *, sum(target) over (order by source_no) - target as lo from t),
-share as (select *, lead(lo) over (order by source_no) as hi from s),
-point as (
-  select i, (i * 0.6180339887498949::double - floor(i * 0.6180339887498949::double)) * total as place
-  from (select unnest(range(cast(ceil(total / block) as bigint))) as i, total from n)),
-slot as (
-  select source_no, source_size, row_number() over (partition by source_no order by i) - 1 as rank
-  from point join share on place >= lo and (hi is null or place < hi) where target > 0),
-times as (
-  select source_no, rank % cast(ceil(source_size / block) as bigint) as block_no, count(*) as times
-  from slot, n where rank // cast(ceil(source_size / block) as bigint) < 3 group by 1, 2),
 placed as (
-  select doc_id, size, source_no, t.source_size, target,
+  select doc_id, size, t.source_size, target, least(cast(round(target) as bigint), 3 * t.source_size) as goal,
          sum(size) over (partition by source_no order by md5(cast(doc_id as varchar)), doc_id, size, digest
                          rows unbounded preceding) - size as lo
-  from sized join t on sized.source is not distinct from t.source),
-part as (
-  select *, unnest(range(cast(lo // block as bigint), cast((lo + size - 1) // block as bigint) + 1)) as block_no
-  from placed, n where size > 0),
-got as (
-  select doc_id, sum((least(lo + size, (part.block_no + 1) * block) - greatest(lo, part.block_no * block)) * times)
-         as taken
-  from part join times on part.source_no = times.source_no and part.block_no = times.block_no group by doc_id)
-select doc_id, size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken
-from placed left join got using (doc_id)
+  from sized join t on sized.source is not distinct from t.source)
+select doc_id, size, source_size, target, cast(list_sum(list_transform(range(3), lambda k:
+         greatest(0, least(lo + k * source_size + size, goal) - (lo + k * source_size)))) as bigint) as taken
+from placed
 """
