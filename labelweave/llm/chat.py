@@ -5,9 +5,11 @@ prefix of turns is rendered once as the prompt; what follows on either side is
 rendered as a completion with a mask of the characters that carry loss.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from labelweave.llm.common import table
+from labelweave.session import materialise
 
 # The template, a parameter of format_preferences.
 OPEN, CLOSE = "<|", "|>"
@@ -27,21 +29,37 @@ def conversations_of(turns):
             .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")))
 
 
+def next_replies(replies):
+    """conv_id and ``other``, the reply of the next conversation in the order of
+    numbers; after the last comes the first. A single one is its own next.
+
+    Numbers are range-partitioned and looked up within each partition; the last
+    of a partition takes the first of the next, of which there are as many rows
+    as partitions.
+    """
+    runs = materialise(replies.repartitionByRange("conv_id").withColumn("run", F.spark_partition_id()), "replies")
+    ahead = F.lead(F.struct("reply")).over(Window.partitionBy("run").orderBy("conv_id"))
+    round_ = Window.orderBy("run")
+    everything = round_.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = runs.groupBy("run").agg(F.min_by(F.struct("reply"), "conv_id").alias("first"))
+    firsts = firsts.select("run", F.coalesce(F.lead("first").over(round_), F.first("first").over(everything)).alias("first"))
+    return (runs.withColumn("ahead", ahead).join(firsts, "run")
+            .select("conv_id", F.coalesce("ahead", "first").reply.alias("other")))
+
+
 def swapped_reply_pairs(turns):
     """pair_id, chosen, rejected: a conversation, and the same one answered with
-    the last reply of its neighbour (the conversation whose number differs in the
-    last bit). Conversations without a reply or without such a neighbour form no
-    pair."""
+    the last reply of the next conversation that has one, in the order of numbers,
+    going round. Every conversation with a reply forms a pair."""
     speech = F.transform("turns", lambda t: F.struct(t.role, t.text))
     replies = F.filter("turns", lambda t: t.role == ASSISTANT)
     convs = (conversations_of(turns)
              .withColumn("reply", F.try_element_at(F.transform(replies, lambda t: t.text), F.lit(-1)))
              .where(F.size(replies) > 0)
              .select("conv_id", speech.alias("chosen"), "reply"))
-    neighbours = convs.select(F.expr("conv_id ^ 1").alias("conv_id"), F.col("reply").alias("other"))
     last = F.size("chosen") - F.array_position(
         F.reverse(F.transform("chosen", lambda t: F.coalesce(t.role == ASSISTANT, F.lit(False)))), True)
-    return (convs.join(neighbours, "conv_id")
+    return (convs.drop("reply").join(next_replies(convs.select("conv_id", "reply")), "conv_id")
             .withColumn("last", last.cast("int"))
             .select(F.col("conv_id").alias("pair_id"), "chosen",
                     F.concat(F.slice("chosen", F.lit(1), F.col("last")),
@@ -106,8 +124,9 @@ reply as (
   select conv_id, i as last, text as reply from t where role = 'assistant'
   qualify row_number() over (partition by conv_id order by i desc) = 1),
 pair as (
-  select a.conv_id as pair_id, a.last, b.reply as other
-  from reply a join reply b on xor(a.conv_id, 1) = b.conv_id),
+  select conv_id as pair_id, last, case when conv_id = max(conv_id) over () then first(reply) over (order by conv_id)
+         else lead(reply) over (order by conv_id) end as other
+  from reply),
 chosen as (select pair_id, i, role, text from t join pair on pair_id = conv_id),
 rejected as (
   select pair_id, i, role, text from t join pair on pair_id = conv_id where i < last

@@ -1,5 +1,7 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from labelweave.llm import chat, warc
 from labelweave.session import fresh_dir
 
@@ -83,5 +85,10 @@ def test_pairs_of_odd_conversations(spark):
             (1, 1, "assistant", None), (2, None, None, None), (3, 0, "assistant", "z"), (None, 0, "user", "lost")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r["pair_id"]: r for r in chat.format_preferences(chat.swapped_reply_pairs(turns)).collect()}
-    assert set(got) == {0, 1} and got[1]["prompt_turns"] == 2
+    assert set(got) == {0, 1, 3} and got[1]["prompt_turns"] == 2
+    assert got[0]["rejected"] == "<|assistant|>\n<|end|>\n" and got[3]["rejected"] == "<|assistant|>\nr0<|end|>\n"
+    even = turns.where("conv_id is not null").withColumn("conv_id", F.col("conv_id") * 2)
+    assert {r["pair_id"] for r in chat.swapped_reply_pairs(even).collect()} == {0, 2, 6}
+    alone = chat.swapped_reply_pairs(turns.where("conv_id = 3")).collect()
+    assert [r["chosen"] == r["rejected"] for r in alone] == [True]
     assert chat.swapped_reply_pairs(turns.limit(0)).count() == 0
