@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from labelweave.llm.common import table, whole_text
+from labelweave.llm.filters import filter_of, found
 from labelweave.llm.order_minhash import components, kmer_hashes, word_hashes
 from labelweave.session import materialise
 
@@ -29,9 +30,7 @@ CELL_SETS = 64  # sets of a block; a cell has at most two
 CELL_SHINGLES = 1 << 18  # of a hub's cell, about
 RARE = 8  # sets from which a shingle counts as frequent; levels are its powers
 LEVELS = 7
-FILTER_BITS = 25  # a filter has 2^25 bits, whatever the number of keys
 _ODD = 0x9E3779B97F4A7C15
-_SPREAD = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93))
 
 
 # Sets
@@ -58,40 +57,6 @@ def index_length(n):
     return n - -(-8 * n // 9) + 1 if n else 0
 
 
-# Filters of fixed size: what was put in is always found, other keys rarely.
-
-def _places(keys):
-    return [((keys ^ (keys >> np.uint64(31))) * m) >> np.uint64(64 - FILTER_BITS) for m in _SPREAD]
-
-
-def _found(bits, keys):
-    if bits is None:
-        return np.zeros(len(keys), bool)
-    out = np.ones(len(keys), bool)
-    for place in _places(keys):
-        out &= (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-    return out
-
-
-def _filter_of(keys_of, df):
-    """The filter of the keys that ``keys_of`` makes of each batch of ``df``, or
-    None without keys. The driver sees its 2^FILTER_BITS bits."""
-    def run(batches):
-        bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-        for batch in batches:
-            for place in _places(keys_of(batch)):
-                np.bitwise_or.at(bits, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
-        at = np.flatnonzero(bits)
-        yield pd.DataFrame({"at": at, "bits": bits[at].view(np.int64)})
-
-    rows = df.mapInPandas(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    if not len(rows):
-        return None
-    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-    bits[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return bits
-
-
 def _level_keys(tokens, level):
     return tokens + np.uint64(_ODD * level & 0xFFFFFFFFFFFFFFFF)
 
@@ -102,7 +67,7 @@ def ordered(tokens, bits):
     level = np.zeros(len(tokens), np.int8)
     at = np.arange(len(tokens))
     for n in range(1, LEVELS + 1 if bits is not None else 1):
-        at = at[_found(bits, _level_keys(tokens[at], n))]
+        at = at[found(bits, _level_keys(tokens[at], n))]
         if not len(at):
             break
         level[at] = n
@@ -139,7 +104,7 @@ def frequent_filter(docs):
 
     sets = _listed(docs, None).where("n > 0").groupBy("digest").agg(F.first("first").alias("first"))
     counts = sets.select(F.explode("first").alias("token")).groupBy("token").count().where(F.col("count") >= RARE)
-    return _filter_of(keys_of, counts)
+    return filter_of(keys_of, counts)
 
 
 def _owner_keys(batch):
@@ -152,7 +117,7 @@ def _sets_of(docs, wanted, bits):
     """vid and shingles (in order, as bytes) of the wanted vid, doc_id, digest.
     A filter picks them out of the scan, so that no text is moved; the join then
     is exact."""
-    owners = _filter_of(_owner_keys, wanted.select("doc_id", "digest"))
+    owners = filter_of(_owner_keys, wanted.select("doc_id", "digest"))
 
     def run(batches):
         for batch in batches:
@@ -161,12 +126,12 @@ def _sets_of(docs, wanted, bits):
                 tokens = shingles(text)
                 rows.append((_digest(tokens), tokens))
             out = pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "digest": [r[0] for r in rows]})
-            keep = _found(owners, _owner_keys(out)) if len(out) else np.zeros(0, bool)
+            keep = found(owners, _owner_keys(out)) if len(out) else np.zeros(0, bool)
             out["data"] = [ordered(r[1], bits).tobytes() if k else None for k, r in zip(keep, rows)]
             yield out.loc[keep, ["digest", "data"]]
 
-    found = docs.mapInPandas(run, "digest binary, data binary")
-    return wanted.select("vid", "digest").join(found, "digest").select("vid", "data").dropDuplicates(["vid"])
+    sets = docs.mapInPandas(run, "digest binary, data binary")
+    return wanted.select("vid", "digest").join(sets, "digest").select("vid", "data").dropDuplicates(["vid"])
 
 
 # The tree of a cell

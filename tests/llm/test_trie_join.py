@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from labelweave.llm import trie_join
+from labelweave.llm import filters, trie_join
 
 
 def plain_set(text):
@@ -63,7 +63,7 @@ def test_tree_finds_what_all_pairs_find(seed):
 def test_the_order_is_whole_and_filters_forget_nothing(spark):
     tokens = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 4000).astype(np.uint64))
     frame = spark.createDataFrame([(int(t),) for t in tokens[::2].view(np.int64)], "t long")
-    bits = trie_join._filter_of(lambda b: trie_join._level_keys(b["t"].to_numpy().view(np.uint64), 1), frame)
+    bits = filters.filter_of(lambda b: trie_join._level_keys(b["t"].to_numpy().view(np.uint64), 1), frame)
     order = trie_join.ordered(tokens, bits)
     assert sorted(order) == sorted(tokens)
     assert set(tokens[::2]) <= set(order[len(order) // 2 - 50:])
