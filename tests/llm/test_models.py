@@ -1,4 +1,6 @@
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -79,23 +81,82 @@ def test_toxicity_learns_expressions(spark, odd_documents):
     assert {r["predicted"] for r in toxicity.score(docs, nothing).collect()} == {0}
 
 
-def test_ratios_equal_the_formula(spark):
-    docs, labels = toxic_table(spark)
-    texts = {(r["text"], r["toxic"]) for r in docs.join(labels, "doc_id").collect() if not held(r["doc_id"], 3, 1)}
-    counts, before = {}, {}
-    for text, toxic in texts:
-        words = text.split()
-        for w in set(words):
-            counts.setdefault(w, [0, 0])[toxic] += 1
-        for v, w in zip(["", *words], words):
-            before.setdefault(w, set()).add(v)
-    total = [sum(c[k] for c in counts.values()) for k in (0, 1)]
-    kinds = [sum(c[k] > 0 for c in counts.values()) for k in (0, 1)]
-    pairs = sum(map(len, before.values()))
-    p = lambda w, k: (max(counts[w][k] - 0.75, 0) + 0.75 * kinds[k] * len(before[w]) / pairs) / total[k]
-    told = {r["w"]: r["ratio"] for r in toxicity.train(docs, labels)[0].collect()}
-    for w in ("vile", "scum"):  # the number of pairs is an estimate
-        assert told[w] == pytest.approx(np.log(p(w, 1) / p(w, 0)), abs=0.1)
+def plain_toxicity(learn, texts):
+    """The scores of the texts, the cut and the ratios of words and pairs, from
+    (text, toxic) of the learning folds: the formulas written out."""
+    import math
+    from decimal import ROUND_HALF_UP, Decimal
+    D, words_of = toxicity.DISCOUNT, lambda t: [w for w in re.split(toxicity._BREAKS, t.lower()) if w]
+    with_before = lambda ws: list(zip(["", *ws], ws))
+    n, p = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for text, y in learn:
+        for w in set(words_of(text)):
+            n[w][y] += 1
+        for pair in set(with_before(words_of(text))):
+            p[pair][y] += 1
+    total = [sum(c[k] for c in n.values()) for k in (0, 1)]
+    kinds = [sum(c[k] > 0 for c in n.values()) for k in (0, 1)]
+    met, context = defaultdict(int), defaultdict(lambda: [0, 0, 0, 0])
+    for (v, w), c in p.items():
+        met[w] += 1
+        for k in (0, 1):
+            context[v][k] += c[k]
+            context[v][2 + k] += c[k] > 0
+    single = lambda w, k, c: (max(c - D, 0) + D * kinds[k] * met[w] / len(p)) / total[k]
+    double = lambda v, w, k, c: (max(c - D, 0) + D * context[v][2 + k] * single(w, k, n[w][k])) / context[v][k]
+
+    def evidence(c, of):
+        share = of[1] / sum(of)
+        return 2 * sum(c[k] * math.log(c[k] / (sum(c) * s)) for k, s in ((1, share), (0, 1 - share)) if c[k])
+
+    def told(c, of, probability, own):
+        less = [own == 2, own == 1]
+        left, rest = [max(c[k] - less[k], 0) for k in (0, 1)], [of[k] - less[k] for k in (0, 1)]
+        known = c[0] >= less[0] and c[1] >= less[1] and sum(left) and min(rest) > 0
+        return evidence(left, rest) if known else 0.0, math.log(probability(1, left[1]) / probability(0, left[0]))
+
+    least = min(toxicity.CUTS)
+    word = {w: [told(c, total, lambda k, x: single(w, k, x), own) for own in range(3)]
+            for w, c in n.items() if evidence(c, total) >= least}
+    pair = {(v, w): [told(c, context[v], lambda k, x: double(v, w, k, x), own) for own in range(3)]
+            for (v, w), c in p.items() if min(context[v][:2]) > 0 and evidence(c, context[v]) >= least}
+
+    def per_word(text, cut, own):
+        out = 0.0
+        for v, w in with_before(words_of(text)):
+            known = [x[own] for x in (pair.get((v, w)), word.get(w)) if x]
+            out += next((r for e, r in known if e >= cut), 0.0)
+        return out / len(words_of(text)) if words_of(text) else 0.0
+
+    place = lambda x: math.asinh(x * toxicity.SCALE)
+    best = None
+    for cut in toxicity.CUTS:
+        at = Counter((float(Decimal(repr(place(per_word(t, cut, 1 if y else 2)))).quantize(Decimal("0.1"), ROUND_HALF_UP)), y)
+                     for t, y in learn if words_of(t))
+        bins = [(x, y, c) for (x, y), c in at.items()]
+        curve = toxicity.fit_curve(bins)
+        wrong = toxicity.mistakes(bins, *curve)
+        if best is None or wrong <= best[0]:
+            best = (wrong, cut, curve)
+    _, cut, (a, b) = best
+    score = [1 / (1 + math.exp(-(a + b * place(per_word(t, cut, 0))))) for t in texts]
+    ratios = {w: x[0][1] for w, x in word.items() if x[0][0] >= cut}
+    return score, cut, ratios, {vw: x[0][1] for vw, x in pair.items() if x[0][0] >= cut}
+
+
+@pytest.mark.parametrize("table", [toxic_table, lambda spark: phrase_table(spark)])
+def test_toxicity_equals_the_formulas(spark, table):
+    docs, labels = table(spark)
+    rows = docs.join(labels, "doc_id").collect()
+    learn = sorted({(r["text"], r["toxic"]) for r in rows if not held(r["doc_id"], 3, 1)})
+    want, _, words, pairs = plain_toxicity(learn, [r["text"] for r in rows])
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert [got[r["doc_id"]] for r in rows] == pytest.approx(want, abs=1e-9)
+    told = model[0].collect()
+    assert {r["w"]: r["ratio"] for r in told if r["ratio"] is not None} == pytest.approx(words, abs=1e-9)
+    after = {(v, r["w"]): x for r in told for v, x in (r["after"] or {}).items()}
+    assert words and after == pytest.approx(pairs, abs=1e-9)
 
 
 def test_toxicity_of_the_table(run_query):
@@ -148,7 +209,7 @@ def test_search_of_odd_vectors(spark):
     assert hnsw.search_index(hnsw.build_index(nothing), nothing).count() == 0
 
 
-def test_rare_words_and_phrases_of_ordinary_words_tell(spark):
+def phrase_table(spark):
     """Insults of about five learning texts each, below a fixed cut of 30, and a phrase
     of two words that ordinary texts use as well."""
     rng = np.random.default_rng(3)
@@ -162,8 +223,11 @@ def test_rare_words_and_phrases_of_ordinary_words_tell(spark):
             words[10:10], words[30:30] = ["go"], ["home"]
         rows.append((i, " ".join(words)))
         labels.append((i, int(toxic)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_rare_words_and_phrases_of_ordinary_words_tell(spark):
+    docs, marks = phrase_table(spark)
     out = [r for r in toxicity.score(docs, toxicity.train(docs, marks)).join(marks, "doc_id").collect()
            if held(r["doc_id"], 3, 1)]
     toxic = [r["predicted"] for r in out if r["toxic"]]
