@@ -33,3 +33,16 @@ def fold(doc_id, folds):
 def let(value, body):
     """``body`` of a value that is computed once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def folded(df, needed):
+    """``df`` with all but the needed columns folded into one, and a function that
+    unfolds them again, in the old order: whatever an operator calls its own
+    columns, none of the input's is lost or taken for one of them."""
+    rest = [c for c in df.columns if c not in needed]
+    column = lambda c: F.col(f"`{c}`")
+    inner = df.select(*needed, *[F.struct(*map(column, rest)).alias("__rest")][:len(rest)])
+
+    def unfold(out):
+        return out.select(*[F.col(c) if c in needed else F.col("__rest").getField(c).alias(c) for c in df.columns])
+    return inner, unfold

@@ -8,7 +8,7 @@ are too short or repeat themselves. DataFrame functions only.
 
 from pyspark.sql import functions as F
 
-from labelweave.llm.common import BLANKS, let, table, whole_text, word_array, word_count
+from labelweave.llm.common import BLANKS, folded, let, table, whole_text, word_array, word_count
 from labelweave.session import materialise
 
 SYMBOLS = "#*$%&|<>"  # fixed by the contract
@@ -103,26 +103,38 @@ def apply_rules(df, host="source"):
     these names are replaced; all others stay.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-             "n_frequent_words", "kept", "clean_text", "digest", "frequent"]
+             "n_frequent_words", "kept", "clean_text"]
     df = df.drop(*[n for n in names if n in df.columns])
     boilerplate = materialise(frequent_lines(df, host), "lines")
     found = (_hashed_lines(df, host).join(boilerplate, ["h1", "h2"])
              .groupBy("doc_id", host, "digest")
-             .agg(F.collect_set(F.struct("pos", "words")).alias("frequent"))
+             .agg(F.collect_set(F.struct("pos", "words")).alias("__frequent"))
              .select(F.col("doc_id").alias("__id"), F.col(host).alias("__host"), F.col("digest").alias("__digest"),
-                     "frequent"))
-    ruled = base_rules(df).withColumn("digest", F.md5(whole_text()))
+                     "__frequent"))
+    ruled = base_rules(df).withColumn("__md5", F.md5(whole_text()))
     joined = ruled.join(found, F.col("doc_id").eqNullSafe(F.col("__id"))
-                        & F.col(host).eqNullSafe(F.col("__host")) & (F.col("digest") == F.col("__digest")), "left")
-    gone = F.transform("frequent", lambda x: x.pos)
+                        & F.col(host).eqNullSafe(F.col("__host")) & (F.col("__md5") == F.col("__digest")), "left")
+    gone = F.transform("__frequent", lambda x: x.pos)
     rest = F.filter(F.split(whole_text(), "\n"), lambda line, i: ~F.array_contains(gone, i))
     judged = joined.withColumn("n_frequent_words", F.coalesce(F.aggregate(
-        "frequent", F.lit(0).cast("long"), lambda n, x: n + x.words), F.lit(0)))
+        "__frequent", F.lit(0).cast("long"), lambda n, x: n + x.words), F.lit(0)))
     depleted = 100 * F.col("n_frequent_words") > DEPLETED_PERCENT * F.col("n_words")
     return (judged.withColumn("kept", ~F.col("base_failed") & ~depleted)
-            .withColumn("clean_text", F.when(F.col("frequent").isNull(), F.col("text"))
+            .withColumn("clean_text", F.when(F.col("__frequent").isNull(), F.col("text"))
                         .otherwise(F.array_join(rest, "\n")))
-            .drop("__id", "__host", "__digest", "digest", "frequent"))
+            .drop("__id", "__host", "__digest", "__md5", "__frequent"))
+
+
+def kept_documents(df, host="source"):
+    """The rows of ``df`` that the rules keep, with all columns. Their frequent
+    lines are taken out of the text, and ``n_chars``, if there is one, counts what
+    is left of a text that lost some."""
+    inner, unfold = folded(df, ["doc_id", "text", host])
+    kept = apply_rules(inner, host).where("kept")
+    if "n_chars" in df.columns:
+        left = F.when(F.col("n_frequent_words") > 0, F.char_length("clean_text")).otherwise(F.col("__rest.n_chars"))
+        kept = kept.withColumn("__rest", F.col("__rest").withField("n_chars", left))
+    return unfold(kept.withColumn("text", F.col("clean_text")))
 
 
 def op6_quality_rules(spark, sf_dir):

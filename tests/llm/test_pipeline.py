@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from labelweave.llm import order_minhash, packing, quality, toxicity
 from labelweave.llm.common import table
@@ -26,6 +28,36 @@ def test_stages_against_plain_rules(spark, sf_dir):
     assert sorted(whole) == sorted(frames[5].groupBy("doc_id").sum("length").collect())
 
 
+CLASHING = ["digest", "frequent", "kept", "score", "predicted", "n_words", "clean_text", "label", "nth", "slot", "taken",
+            "size", "words", "key", "__md"]
+
+
+def test_stages_keep_whatever_columns_there_are(spark, sf_dir, odd_documents):
+    """Odd rows beside the table's, and columns named as the operators name theirs."""
+    plain = table(spark, sf_dir, "documents")
+    docs = plain.unionByName(odd_documents.select(*plain.columns)).withColumns(
+        {c: F.concat(F.lit(c), F.lit("-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in CLASHING})
+    for frame, some in ((docs, True), (docs.limit(0), False)):
+        columns = frame.columns
+        for name, stage in pipeline.STAGES:
+            frame = materialise(stage(spark, frame, sf_dir), name)
+            assert bool(frame.limit(1).count()) == some
+            if name != "packing":
+                assert frame.columns == columns
+                for r in frame.select("doc_id", *CLASHING).distinct().collect() if some else []:
+                    assert [r[c] for c in CLASHING] == [f"{c}-{'none' if r[0] is None else r[0]}" for c in CLASHING]
+
+
+def test_quality_stage_takes_frequent_lines_out(spark):
+    words = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    rows = [(i, f"{words(f'd{i}x', 60)}\n{words('menu', 40)}", "en", "host", 7) for i in range(25)]
+    docs = spark.createDataFrame(rows + [(99, words("z", 70), "en", "host", 7)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in pipeline.quality_rules(spark, docs, None).collect()}
+    assert got[3]["text"] == words("d3x", 60) and got[3]["n_chars"] == len(words("d3x", 60))
+    assert got[99]["text"] == words("z", 70) and got[99]["n_chars"] == 7 and len(got) == 26
+
+
 def test_pipeline_is_registered_and_runs(spark, sf_dir):
     import __spark_entry__
     assert __spark_entry__.queries()["pipeline"] is pipeline.run
