@@ -1,18 +1,23 @@
-"""Filters of fixed size over 64-bit keys: a key that was put in is always found,
-another one rarely, and more often the more keys there are. They only spare work
-that a join repeats exactly."""
+"""Filters of bounded size over 64-bit keys: a key that was put in is always found,
+another one rarely, and more often where there are more keys than the largest
+filter is made for. They only spare work that a join repeats exactly."""
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FILTER_BITS = 25  # a filter has 2^25 bits, whatever the number of keys
+BITS = (16, 28)  # of a filter, as powers of two: about 12 a key, at least and at most
 _SPREAD = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93))
 
 
-def _places(keys):
-    return [((keys ^ (keys >> np.uint64(31))) * m) >> np.uint64(64 - FILTER_BITS) for m in _SPREAD]
+def _places(keys, power):
+    return [((keys ^ (keys >> np.uint64(31))) * m) >> np.uint64(64 - power) for m in _SPREAD]
+
+
+def _set(bits, keys):
+    for place in _places(keys, (len(bits) * 64).bit_length() - 1):
+        np.bitwise_or.at(bits, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
 
 
 def found(bits, keys):
@@ -20,26 +25,27 @@ def found(bits, keys):
     if bits is None:
         return np.zeros(len(keys), bool)
     out = np.ones(len(keys), bool)
-    for place in _places(keys):
+    for place in _places(keys, (len(bits) * 64).bit_length() - 1):
         out &= (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
     return out
 
 
-def filter_of(keys_of, df):
-    """The filter of the keys that ``keys_of`` makes of each batch of ``df``, or
-    None without keys. The driver sees its 2^FILTER_BITS bits."""
+def filter_of(keys_of, df, count):
+    """The filter of the keys that ``keys_of`` makes of each batch of ``df``, about
+    ``count``, or None without keys. The driver sees its bits, 32 MB at most."""
+    power = min(max(BITS[0], (12 * count).bit_length()), BITS[1])
+
     def run(batches):
-        bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+        bits = np.zeros(1 << power - 6, np.uint64)
         for batch in batches:
-            for place in _places(keys_of(batch)):
-                np.bitwise_or.at(bits, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+            _set(bits, keys_of(batch))
         at = np.flatnonzero(bits)
         yield pd.DataFrame({"at": at, "bits": bits[at].view(np.int64)})
 
     rows = df.mapInPandas(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
     if not len(rows):
         return None
-    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    bits = np.zeros(1 << power - 6, np.uint64)
     bits[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return bits
 
@@ -47,8 +53,8 @@ def filter_of(keys_of, df):
 def may_hold(df, column):
     """A condition on whole numbers that the column of ``df`` may hold: true of
     all that it holds and of few others; false of null."""
-    bits = filter_of(lambda batch: batch["key"].to_numpy(dtype=np.int64).view(np.uint64),
-                     df.select(F.col(column).cast("long").alias("key")).where("key is not null"))
+    keys = df.select(F.col(column).cast("long").alias("key")).where("key is not null")
+    bits = filter_of(lambda batch: batch["key"].to_numpy(dtype=np.int64).view(np.uint64), keys, keys.count())
 
     @F.pandas_udf(T.BooleanType())
     def holds(keys: pd.Series) -> pd.Series:

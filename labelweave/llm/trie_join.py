@@ -22,24 +22,99 @@ from pyspark.sql import functions as F
 
 from labelweave.llm.common import table, whole_text
 from labelweave.llm.filters import filter_of, found
-from labelweave.llm.order_minhash import components, kmer_hashes, word_hashes
+from labelweave.llm.order_minhash import components
 from labelweave.session import materialise
 
 SHINGLE_WORDS = 5
-CELL_SETS = 64  # sets of a block; a cell has at most two
-CELL_SHINGLES = 1 << 18  # of a hub's cell, about
-RARE = 8  # sets from which a shingle counts as frequent; levels are its powers
+PAIRED_SETS = 256  # sets of a shingle that are paired with each other; more meet in cells
+CELL_SETS = 64  # sets of a block of such a shingle; a cell has at most two
+CELL_SHINGLES = 1 << 18  # of a probe's cell, about
+RARE = 4  # counted sets from which a shingle is frequent; levels are its powers
 LEVELS = 7
+_HASH_BITS = 60  # of a shingle; the three bits above are its level, the sign stays free
+_MARK_BITS = 2048
+_CHUNK = 1 << 20  # bytes hashed at once, about
 _ODD = 0x9E3779B97F4A7C15
+_MASK = 0xFFFFFFFFFFFFFFFF
 
 
 # Sets
 
-def shingles(text):
-    """The distinct hashed shingles of a text, sorted: runs of five words in
+def _mixed(x):
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base, count):
+    out = np.full(count, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _word_hashes(data):
+    """64-bit hashes of the words of bytes in lower case, and where they begin.
+    All words at once: a word is the difference of two sums of bytes by powers of
+    an odd number, divided by the power at which it begins."""
+    codes = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], ~((codes == 32) | ((codes >= 9) & (codes <= 13))), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, end = edges[::2], edges[1::2]
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, len(codes)), out=sums[1:])
+    back = _powers(pow(_ODD, -1, 1 << 64), len(codes))
+    words = (sums[end] - sums[begin]) * back[begin]
+    return _mixed(words + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), begin
+
+
+def _runs(words):
+    """Hashes of every run of five words."""
+    count = max(0, len(words) - SHINGLE_WORDS + 1)
+    out = np.zeros(count, np.uint64)
+    for j in range(SHINGLE_WORDS):
+        out += _mixed(words[j:j + count] + np.uint64(_ODD * (j + 1) & _MASK))
+    return _mixed(out)
+
+
+def _chunks(texts):
+    """Lists of texts, as bytes, of about _CHUNK bytes; a longer text is alone."""
+    chunk, size = [], 0
+    for text in texts:
+        data = text.encode().lower()
+        if chunk and size + len(data) > _CHUNK:
+            yield chunk
+            chunk, size = [], 0
+        chunk.append(data)
+        size += len(data)
+    if chunk:
+        yield chunk
+
+
+def _long_words(data):
+    """Word hashes of a very long text, piece by piece, cut at blanks."""
+    out, at = [], 0
+    while at < len(data):
+        to = at + _CHUNK
+        while to < len(data) and data[to] not in b" \t\n\x0b\x0c\r":
+            to += 1
+        out.append(_word_hashes(data[at:to])[0])
+        at = to
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def shingle_sets(texts):
+    """For every text its distinct hashed shingles, sorted: runs of five words in
     lower case (A-Z only), or the whole of a shorter text; none without words."""
-    words = text.encode().lower().split()
-    return np.unique(kmer_hashes(word_hashes(words), SHINGLE_WORDS)) if words else np.empty(0, np.uint64)
+    for chunk in _chunks(texts):
+        if len(chunk) == 1:
+            words, cuts = _long_words(chunk[0]), []
+        else:
+            words, begin = _word_hashes(b" ".join(chunk))
+            cuts = np.searchsorted(begin, np.cumsum([len(d) + 1 for d in chunk])[:-1])
+        for own in np.split(words, cuts):
+            if 0 < len(own) < SHINGLE_WORDS:
+                own = np.concatenate([own, np.zeros(SHINGLE_WORDS - len(own), np.uint64)])
+            yield np.unique(_runs(own) >> np.uint64(64 - _HASH_BITS))
 
 
 def overlap_needed(a, b):
@@ -57,81 +132,150 @@ def index_length(n):
     return n - -(-8 * n // 9) + 1 if n else 0
 
 
+def _index_length(n):
+    return F.col(n) - F.ceil(8 * F.col(n) / 9) + 1
+
+
+def _probe_length(n):
+    return F.col(n) - F.ceil(4 * F.col(n) / 5) + 1
+
+
+# The order of all shingles: by level (how frequent a filter says they are), then
+# by hash; a shingle with its level above its hash is its place in the order.
+
 def _level_keys(tokens, level):
-    return tokens + np.uint64(_ODD * level & 0xFFFFFFFFFFFFFFFF)
+    return _mixed(tokens + np.uint64(_ODD * level & _MASK))
 
 
 def ordered(tokens, bits):
-    """Sorted hashes in the order of all shingles: by level (how frequent the
-    filter says they are), then by hash."""
-    level = np.zeros(len(tokens), np.int8)
+    """Sorted hashes as places in the order, sorted."""
+    level = np.zeros(len(tokens), np.uint64)
     at = np.arange(len(tokens))
     for n in range(1, LEVELS + 1 if bits is not None else 1):
         at = at[found(bits, _level_keys(tokens[at], n))]
         if not len(at):
-            break
+            return tokens if n == 1 else np.sort(level << np.uint64(_HASH_BITS) | tokens)
         level[at] = n
-    return tokens[np.argsort(level, kind="stable")]
+    return np.sort(level << np.uint64(_HASH_BITS) | tokens)
 
 
 def _digest(tokens):
     return hashlib.md5(tokens.tobytes()).digest()
 
 
+def frequent_filter(docs):
+    """The filter of frequent shingles, each with its levels. A shingle counts in
+    every text that has it among the first ninth of its set by hash; equal texts
+    of a task count once."""
+    def counted(batches):
+        seen = set()
+        for batch in batches:
+            some = [np.empty(0, np.uint64)]
+            for tokens in shingle_sets(batch["text"]):
+                digest = _digest(tokens)
+                if digest not in seen:
+                    seen.add(digest)
+                    some.append(tokens[:index_length(len(tokens))])
+            tokens, counts = np.unique(np.concatenate(some), return_counts=True)
+            yield pd.DataFrame({"token": tokens.view(np.int64), "n": counts})
+
+    def keys_of(batch):
+        tokens, counts = batch["token"].to_numpy().view(np.uint64), batch["n"].to_numpy()
+        return np.concatenate([np.empty(0, np.uint64)] + [
+            _level_keys(tokens[counts >= RARE ** n], n) for n in range(1, LEVELS + 1)])
+
+    counts = materialise(docs.select("text").mapInPandas(counted, "token long, n long").groupBy("token")
+                         .agg(F.sum("n").alias("n")).where(F.col("n") >= RARE), "frequent")
+    return filter_of(keys_of, counts, 2 * counts.count())
+
+
+def _mark(tokens):
+    """A set in 2048 bits, each the parity of the shingles it stands for: two
+    sets differ in at least as many shingles as their marks in bits."""
+    odd = np.bincount((tokens & np.uint64(_MARK_BITS - 1)).astype(np.int64), minlength=_MARK_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _listed(docs, bits):
-    """doc_id, digest of the set (null if empty), size and first shingles."""
+    """row (a number), doc_id, digest of the set (null if empty), size, and, but
+    where the task listed an equal set before, its first places and its mark."""
     def run(batches):
+        seen = set()
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                tokens = shingles(text)
-                first = ordered(tokens, bits)[:probe_length(len(tokens))]
-                rows.append((_digest(tokens) if len(tokens) else None, len(tokens), first.view(np.int64)))
-            out = pd.DataFrame(rows, columns=["digest", "n", "first"])
+            for tokens in shingle_sets(batch["text"]):
+                digest = _digest(tokens) if len(tokens) else None
+                first = mark = None
+                if digest not in seen and len(tokens):
+                    seen.add(digest)
+                    first, mark = ordered(tokens, bits)[:probe_length(len(tokens))].view(np.int64), _mark(tokens)
+                rows.append((digest, len(tokens), first, mark))
+            out = pd.DataFrame(rows, columns=["digest", "n", "first", "mark"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(run, "doc_id long, digest binary, n long, first array<long>")
-
+    return docs.mapInPandas(run, "doc_id long, digest binary, n long, first array<long>, mark array<long>").withColumn(
+        "row", F.monotonically_increasing_id())
 
-def frequent_filter(docs):
-    """The filter of frequent shingles. A shingle counts in every distinct set
-    that has it among its first ones by hash, a fifth of the set."""
-    def keys_of(batch):
-        tokens, counts = batch["token"].to_numpy().view(np.uint64), batch["count"].to_numpy()
-        return np.concatenate([np.empty(0, np.uint64)] + [
-            _level_keys(tokens[counts >= RARE ** n], n) for n in range(1, LEVELS + 1)])
 
-    sets = _listed(docs, None).where("n > 0").groupBy("digest").agg(F.first("first").alias("first"))
-    counts = sets.select(F.explode("first").alias("token")).groupBy("token").count().where(F.col("count") >= RARE)
-    return filter_of(keys_of, counts)
+def _postings(listed, sets):
+    """token, vid, n, pos, indexed, last (the last of the set's first places) and
+    size, the number of sets that have the token among their first places, of
+    those that two sets share.
 
+    A filter leaves most others where they lie; it is made before sets that
+    several tasks list are brought down to one.
+    """
+    rows = listed.where("first is not null").select(F.col("row").alias("vid"), "n", "first")
+    shared = materialise(rows.select(F.explode("first").alias("token")).groupBy("token")
+                         .agg(F.count("*").alias("size")).where("size > 1"), "shared")
+    keys = lambda batch: _mixed(batch["token"].to_numpy().view(np.uint64))
+    bits = filter_of(keys, shared.select("token"), shared.count())
 
-def _owner_keys(batch):
+    def run(batches):
+        for batch in batches:
+            sizes = batch["first"].map(len).to_numpy()
+            at = np.repeat(np.arange(len(batch)), sizes)
+            tokens = np.concatenate([np.empty(0, np.int64), *batch["first"]]).astype(np.int64)
+            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            last = np.array([first[-1] for first in batch["first"]], np.int64)
+            keep = found(bits, _mixed(tokens.view(np.uint64)))
+            at = at[keep]
+            yield pd.DataFrame({"token": tokens[keep], "vid": batch["vid"].to_numpy()[at],
+                                "n": batch["n"].to_numpy()[at], "pos": pos[keep], "last": last[at]})
+
+    held = rows.mapInPandas(run, "token long, vid long, n long, pos long, last long").join(sets.select("vid"), "vid")
+    held = materialise(held, "held")
+    sizes = materialise(held.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    return held.withColumn("indexed", F.col("pos") < _index_length("n")).join(sizes, "token")
+
+
+def _owner_keys(ids, digests):
     """A key of the row that a set is read from: its document and digest."""
-    ids = batch["doc_id"].fillna(-1).to_numpy(dtype=np.int64).view(np.uint64)
-    return np.array([int.from_bytes(d[:8], "little") for d in batch["digest"]], np.uint64) + ids * np.uint64(_ODD)
+    ids = ids.fillna(-1).to_numpy(dtype=np.int64).view(np.uint64)
+    return _mixed(np.array([int.from_bytes(d[:8], "little") for d in digests], np.uint64) + ids * np.uint64(_ODD))
 
 
 def _sets_of(docs, wanted, bits):
-    """vid and shingles (in order, as bytes) of the wanted vid, doc_id, digest.
-    A filter picks them out of the scan, so that no text is moved; the join then
-    is exact."""
-    owners = filter_of(_owner_keys, wanted.select("doc_id", "digest"))
+    """digest and places (sorted, as bytes) of the wanted vid, doc_id, digest and
+    of few others. A filter picks them out of the scan, so that no text is moved;
+    the joins on the digest are exact. A set may come once from every task."""
+    owners = filter_of(lambda b: _owner_keys(b["doc_id"].astype("Int64"), b["digest"]),
+                       wanted.select("doc_id", "digest"), wanted.count())
 
     def run(batches):
+        seen = set()
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                tokens = shingles(text)
-                rows.append((_digest(tokens), tokens))
-            out = pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "digest": [r[0] for r in rows]})
-            keep = found(owners, _owner_keys(out)) if len(out) else np.zeros(0, bool)
-            out["data"] = [ordered(r[1], bits).tobytes() if k else None for k, r in zip(keep, rows)]
-            yield out.loc[keep, ["digest", "data"]]
+            rows = [(_digest(t), t) for t in shingle_sets(batch["text"])]
+            keep = found(owners, _owner_keys(batch["doc_id"].astype("Int64"), [d for d, _ in rows]))
+            out = []
+            for digest, tokens in (rows[i] for i in np.flatnonzero(keep)):
+                if digest not in seen:
+                    seen.add(digest)
+                    out.append((digest, ordered(tokens, bits).tobytes()))
+            yield pd.DataFrame(out, columns=["digest", "data"])
 
-    sets = docs.mapInPandas(run, "digest binary, data binary")
-    return wanted.select("vid", "digest").join(sets, "digest").select("vid", "data").dropDuplicates(["vid"])
+    return docs.mapInPandas(run, "digest binary, data binary")
 
 
 # The tree of a cell
@@ -235,21 +379,22 @@ def cell_links(vids, labels, sets, probes, built):
 
 # On Spark
 
-def _joined(cells, sets, labels):
+def _joined(cells, sets, wanted, labels):
     """Links found in the cells: (cell, vid, probe, built), each with its set and
     class."""
     def run(batch):
-        rows = batch.sort_values("vid").drop_duplicates("vid")
+        rows = batch.groupby("vid", sort=True).agg(
+            {"probe": "max", "built": "max", "label": "first", "data": "first"}).reset_index()
         data = [np.frombuffer(d, np.uint64) for d in rows["data"]]
         at = lambda flag: np.flatnonzero(rows[flag].to_numpy()).tolist()
         links = cell_links(rows["vid"].tolist(), rows["label"].tolist(), data, at("probe"), at("built"))
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    full = cells.join(sets, "vid")
-    full = (full.withColumn("label", F.col("vid")) if labels is None else
-            full.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
-            .withColumn("label", F.coalesce("label", "vid")))
-    return full.groupBy("cell").applyInPandas(run, "a long, b long")
+    known = cells.join(wanted.select("vid", "digest"), "vid")
+    known = (known.withColumn("label", F.col("vid")) if labels is None else
+             known.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
+             .withColumn("label", F.coalesce("label", "vid")))
+    return known.join(sets, "digest").drop("digest").groupBy("cell").applyInPandas(run, "a long, b long")
 
 
 def _possible(x, y):
@@ -262,37 +407,102 @@ def _possible(x, y):
             & F.when(first, F.col(f"{x}.indexed")).otherwise(F.col(f"{y}.indexed")))
 
 
-def _hub_cells(members):
-    """Cells of one probe each: of every shingle's sets the one that shares most
-    shingles with others, in a group of near copies their original, against all
-    sets it can be linked with."""
+def _candidates(members, marks):
+    """Written pairs (a, an, b, bn) of sets, with their sizes, that may be linked.
+
+    Sets that meet at a shingle of at most PAIRED_SETS are paired, and what all
+    their first places have in common bounds their overlap: of the one whose first
+    places end first, none of them is in the other but those. A shingle of more
+    sets could be in common beside those. There all are paired with one hub, the
+    set that shares most shingles with others.
+    """
+    crowded = F.col("size") > PAIRED_SETS
+    many = materialise(members.where(crowded), "many")
+    more = many.groupBy("vid").agg(F.count("*").alias("more"))
+    few = members.where(~crowded).join(materialise(more, "more"), "vid", "left").fillna(0, ["more"])
+    side = lambda s: few.select("token", F.struct("vid", "n", "pos", "indexed", "last", "more").alias(s))
+    ends = [F.col(f"{s}.{c}").alias(f"{s}{c}") for s in "xy" for c in ("vid", "n", "last", "more")]
+    met = (side("x").join(side("y"), "token").where("x.vid < y.vid").groupBy(*ends)
+           .agg(F.count("*").alias("common"), F.max(_possible("x", "y")).alias("possible")))
+    rest = F.when(F.col("xlast") <= F.col("ylast"), F.col("xn") - _probe_length("xn")).otherwise(
+        F.col("yn") - _probe_length("yn"))
+    pairs = met.where("possible").where(
+        9 * (F.col("common") + F.least("xmore", "ymore") + rest) >= 4 * (F.col("xn") + F.col("yn")))
     degree = materialise(members.groupBy("vid").agg(F.sum("size").alias("degree")), "degree")
-    weighed = members.join(degree, "vid")
     # Written, so that adaptive execution can split the sets of a hot shingle.
-    hubs = materialise(weighed.groupBy("token").agg(
-        F.max(F.struct("degree", "vid", "n", "pos", "indexed")).alias("hub")), "hubs")
-    pairs = materialise(
-        members.select("token", F.struct("vid", "n", "pos", "indexed").alias("set")).join(hubs, "token")
-        .where("set.vid <> hub.vid").where(_possible("hub", "set"))
-        .select(F.col("hub.vid").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("set.vid").alias("vid"),
-                F.col("set.n").alias("n")).distinct(), "pairs")
-    blocks = pairs.groupBy("hub").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("blocks"))
-    cells = pairs.join(materialise(blocks, "blocks"), "hub").withColumn(
-        "cell", F.xxhash64("hub", F.pmod(F.xxhash64("vid"), F.col("blocks"))))
+    hubs = materialise(many.join(degree, "vid").groupBy("token").agg(
+        F.max(F.struct("degree", "vid", "n", "pos", "indexed")).alias("y")), "hubs")
+    stars = (many.select("token", F.struct("vid", "n", "pos", "indexed").alias("x")).join(hubs, "token")
+             .where("x.vid <> y.vid").where(_possible("x", "y"))
+             .select(F.least(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("x"),
+                     F.greatest(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("y")))
+    named = lambda df, x, xn, y, yn: df.select(
+        F.col(x).alias("a"), F.col(xn).alias("an"), F.col(y).alias("b"), F.col(yn).alias("bn"))
+    pairs = materialise(named(pairs, "xvid", "xn", "yvid", "yn").union(
+        named(stars, "x.vid", "x.n", "y.vid", "y.n")).distinct(), "pairs")
+    # What the marks of the rest allow.
+    mark = lambda s: marks.select(F.col("vid").alias(s), F.col("mark").alias(f"{s}_mark"))
+    differ = F.aggregate(F.zip_with("a_mark", "b_mark", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda n, x: n + x)
+    both = F.col("an") + F.col("bn")
+    return materialise(pairs.join(mark("a"), "a").join(mark("b"), "b").where(differ <= both - 2 * F.ceil(4 * both / 9))
+                       .select("a", "an", "b", "bn"), "pairs")
+
+
+def _directed(pairs):
+    """Both directions of the pairs, as (probe, probe_n, vid, n)."""
+    way = lambda p, v: pairs.select(F.col(p).alias("probe"), F.col(f"{p}n").alias("probe_n"),
+                                    F.col(v).alias("vid"), F.col(f"{v}n").alias("n"))
+    return way("a", "b").union(way("b", "a"))
+
+
+def _probe_cells(pairs):
+    """Cells of one probe each, with the sets it is to be compared with; a probe
+    of very many has several."""
+    pairs = materialise(pairs, "cells")
+    blocks = pairs.groupBy("probe").agg(F.ceil(F.sum("n") / CELL_SHINGLES).alias("blocks"))
+    cells = pairs.join(materialise(blocks, "blocks"), "probe").withColumn(
+        "cell", F.xxhash64("probe", F.pmod(F.xxhash64("vid"), F.col("blocks"))))
     no, yes = F.lit(False), F.lit(True)
     return (cells.select("cell", "vid", no.alias("probe"), yes.alias("built"))
-            .union(cells.select("cell", F.col("hub").alias("vid"), yes, no).distinct()))
-
-
-def _mixed_cells(members, labels):
-    """Cells of all pairs of sets of different classes that share one of their
-    first shingles.
+            .union(cells.select("cell", F.col("probe").alias("vid"), yes, no).distinct()))
+
+
+def _first_cells(pairs):
+    """Every set with the one of its candidates that has most candidates itself:
+    in a group of near copies that is their original, mostly, and few other pairs
+    of the group are left then."""
+    both = _directed(pairs)
+    degree = materialise(both.groupBy("vid").agg(F.count("*").alias("degree")), "degrees")
+    best = (both.join(degree.withColumnsRenamed({"vid": "probe", "degree": "order"}), "probe")
+            .groupBy("vid", "n").agg(F.max_by(F.struct("probe", "probe_n"), F.struct("order", "probe")).alias("best")))
+    return _probe_cells(best.select("best.probe", "best.probe_n", "vid", "n"))
+
+
+def _other_cells(pairs, labels):
+    """The pairs of different classes, each with the end of more such pairs as
+    the probe."""
+    of = lambda s: labels.select(F.col("vertex").alias(s), F.col("label").alias(f"label_{s}"))
+    left = materialise(pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                       .where("coalesce(label_a, a) <> coalesce(label_b, b)").select(*pairs.columns), "left")
+    both = _directed(left)
+    degree = materialise(both.groupBy("vid").agg(F.count("*").alias("degree")), "degrees")
+    of = lambda s: degree.select(F.col("vid").alias(s), F.col("degree").alias(f"{s}_degree"))
+    chosen = (both.join(of("probe"), "probe").join(of("vid"), "vid")
+              .where(F.struct("probe_degree", "probe") > F.struct("vid_degree", "vid")))
+    return _probe_cells(chosen.select("probe", "probe_n", "vid", "n"))
+
+
+def _crowded_cells(members, labels):
+    """Cells of all pairs of sets of different classes at a shingle of more than
+    PAIRED_SETS sets.
 
     A class of many sets of a shingle fills blocks of its own, small ones share
     blocks; a cell is two blocks, or one, but never two of the same large class.
     Cells of equal content are one.
     """
-    known = materialise(members.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
+    known = materialise(members.where(F.col("size") > PAIRED_SETS)
+                        .join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
                         .withColumn("label", F.coalesce("label", "vid")), "known")
     mixed = known.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
     known = materialise(known.join(mixed.select("token"), "token"), "mixed")
@@ -308,12 +518,11 @@ def _mixed_cells(members, labels):
     blocks = materialise(placed.select("token", "block", "own").distinct(), "cell_blocks")
     other = blocks.select("token", F.col("block").alias("other"), F.col("own").alias("other_own"))
     rows = (placed.join(other, "token").where("own is null or other_own is null or own <> other_own")
-            .select("token", F.xxhash64("token", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
-                    "vid"))
-    rows = materialise(rows.drop("token").distinct(), "cells")
+            .select(F.xxhash64("token", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), "vid"))
+    rows = materialise(rows.distinct(), "cells")
     content = rows.groupBy("cell").agg(F.bit_xor(F.xxhash64("vid")).alias("x"), F.count("*").alias("c"),
-                                       F.sum(F.col("vid") % 1000003).alias("s"))
-    once = content.groupBy("x", "c", "s").agg(F.min("cell").alias("cell")).where("c > 1").select("cell")
+                                       F.bit_xor(F.xxhash64(F.lit(1), "vid")).alias("y"))
+    once = content.groupBy("x", "y", "c").agg(F.min("cell").alias("cell")).where("c > 1").select("cell")
     yes = F.lit(True)
     return rows.join(materialise(once, "once"), "cell").select("cell", "vid", yes.alias("probe"), yes.alias("built"))
 
@@ -332,21 +541,21 @@ def linked_classes(df):
     listed = materialise(_listed(docs, bits), "listed")
     sets = materialise(
         listed.where("n > 0").groupBy("digest")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("first").alias("first"))
-        .withColumn("vid", F.monotonically_increasing_id()), "distinct")
-    index = F.col("n") - F.ceil(8 * F.col("n") / 9) + 1
-    postings = sets.select("vid", "n", F.posexplode("first").alias("pos", "token")).withColumn(
-        "indexed", F.col("pos") < index)
-    shared = materialise(postings.groupBy("token").agg(F.count("*").alias("size"), F.max("indexed").alias("indexed"))
-                         .where("size > 1 and indexed").select("token", "size"), "shared")
-    members = materialise(postings.join(shared, "token"), "members")
-    wanted = materialise(sets.select("vid", "doc_id", "digest").join(members.select("vid").distinct(), "vid"), "wanted")
+        .agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("mark").isNotNull(), F.col("row"))).alias("vid")), "distinct")
+    members = materialise(_postings(listed, sets), "members")
+    pairs = _candidates(members, listed.where("mark is not null").select(F.col("row").alias("vid"), "mark"))
+    crowd = members.where(F.col("size") > PAIRED_SETS).select("vid")
+    vids = pairs.select(F.col("a").alias("vid")).union(pairs.select("b")).union(crowd).distinct()
+    wanted = materialise(sets.select("vid", "doc_id", "digest").join(vids, "vid"), "wanted")
     data = materialise(_sets_of(docs, wanted, bits), "sets")
 
-    links = materialise(_joined(_hub_cells(members), data, None), "links")
+    links = materialise(_joined(_first_cells(pairs), data, wanted, None), "links")
+    labels = components(links)
+    links = materialise(links.union(_joined(_other_cells(pairs, labels), data, wanted, labels)), "links")
     labels = components(links)
-    more = materialise(_joined(_mixed_cells(members, labels), data, labels), "links")
-    labels = components(links.union(more))
+    more = materialise(_joined(_crowded_cells(members, labels), data, wanted, labels), "links")
+    if more.limit(1).count():
+        labels = components(links.union(more))
 
     vertex = sets.select("digest", "doc_id", "vid").join(
         labels.withColumnRenamed("vertex", "vid"), "vid", "left").withColumn("label", F.coalesce("label", "vid"))

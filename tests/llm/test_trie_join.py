@@ -61,17 +61,33 @@ def test_tree_finds_what_all_pairs_find(seed):
 
 
 def test_the_order_is_whole_and_filters_forget_nothing(spark):
-    tokens = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 4000).astype(np.uint64))
+    tokens = np.unique(np.random.default_rng(1).integers(0, 1 << 60, 4000).astype(np.uint64))
     frame = spark.createDataFrame([(int(t),) for t in tokens[::2].view(np.int64)], "t long")
-    bits = filters.filter_of(lambda b: trie_join._level_keys(b["t"].to_numpy().view(np.uint64), 1), frame)
+    bits = filters.filter_of(lambda b: trie_join._level_keys(b["t"].to_numpy().view(np.uint64), 1), frame, 2000)
     order = trie_join.ordered(tokens, bits)
-    assert sorted(order) == sorted(tokens)
-    assert set(tokens[::2]) <= set(order[len(order) // 2 - 50:])
+    low = np.uint64((1 << 60) - 1)
+    assert sorted(order & low) == sorted(tokens) and (np.diff(order.astype(object)) > 0).all()
+    assert set(tokens[::2]) <= set(order[len(order) // 2 - 50:] & low)
     assert trie_join.ordered(tokens, None).tolist() == tokens.tolist()
 
 
-@pytest.mark.parametrize("cell, shingles, rare", [(64, 1 << 18, 8), (2, 100, 2)])
-def test_classes_of_odd_documents(spark, monkeypatch, cell, shingles, rare):
+def test_shingles_are_those_of_the_words(monkeypatch):
+    rng = random.Random(2)
+    texts = ["", " ", "a", "A b", "a B c d e", "É ß x y z É", "same same same same same same same"]
+    texts += [rng.choice(" \n\t").join(rng.choice(["w", "word", "Ünö", "x" * 30]) + str(rng.randrange(30))
+                                       for _ in range(rng.randrange(80))) for _ in range(60)]
+    whole = [s.tolist() for s in trie_join.shingle_sets(texts)]
+    assert list(map(len, whole)) == [len(plain_set(t)) for t in texts]
+    monkeypatch.setattr(trie_join, "_CHUNK", 50)  # texts are cut, or alone
+    assert [s.tolist() for s in trie_join.shingle_sets(texts)] == whole
+    for a, b in zip(texts, texts[1:]):
+        both = set(whole[texts.index(a)]) & set(whole[texts.index(b)])
+        assert len(both) == len(plain_set(a) & plain_set(b))
+
+
+@pytest.mark.parametrize("paired, cell, shingles, rare", [(256, 64, 1 << 18, 4), (8, 8, 1 << 18, 2), (3, 2, 100, 2)])
+def test_classes_of_odd_documents(spark, monkeypatch, paired, cell, shingles, rare):
+    monkeypatch.setattr(trie_join, "PAIRED_SETS", paired)
     monkeypatch.setattr(trie_join, "CELL_SETS", cell)
     monkeypatch.setattr(trie_join, "CELL_SHINGLES", shingles)
     monkeypatch.setattr(trie_join, "RARE", rare)
