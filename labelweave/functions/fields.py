@@ -106,12 +106,12 @@ def _folded(name):
     return re.sub("[ _]", "", name).upper()
 
 
-_FOLDED_LABELS = {_folded(name): label for name, label in fixed.HEADER_LABELS.items()}
+FOLDED_LABELS = {_folded(name): label for name, label in fixed.HEADER_LABELS.items()}
 
 
 def label_of_header(name):
     """The label of a column name, None where the column is dropped or unknown."""
-    return _FOLDED_LABELS.get(_folded(name)) or None
+    return FOLDED_LABELS.get(_folded(name)) or None
 
 
 # --- record shapes ----------------------------------------------------------

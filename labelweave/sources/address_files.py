@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from labelweave import fixed
 from labelweave.functions import fields as fx
-from labelweave.operators import records as rec
+from labelweave.session import materialise
+from labelweave.sources import csv_records as cr
 
 _CSV = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true",
         "encoding": "UTF-8", "recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
@@ -40,41 +41,53 @@ def with_parts(df, root, path="path", name="parts", readable=True):
     return df.withColumn(name, fx.parts_of(fx.readable(below) if readable else below))
 
 
-def file_headers(spark, paths):
-    """Header line of every file.
+def read_tree_records(spark, root, sep=","):
+    """The files of ``read_tree`` by the same columns, with records that go over
+    several lines; large files are split all the same. The first record of a file
+    is its header."""
+    records = cr.csv_records(spark, root, sep).where(F.trim(F.col("record")) != "")
+    heads = cr.headers_of(records, sep).select("file", "header_at")
+    rows = records.join(heads, "file").where("start > 0 or at <> header_at")
+    values = rows.select(fx.file_path_text(F.col("file")).alias("path"), cr.split_record(F.col("record"), sep).alias("_v"))
+    return values.select(*[fx.empty_to_null(F.get("_v", F.lit(i))).alias(label)
+                           for i, label in enumerate(fixed.FILE_LABELS)], "path")
 
-    A file's first split is read by one task in line order, so its first line
-    is the header; nothing but one line per file is moved.
+
+def records_by_header(records, sep=","):
+    """(rows, headers) of csv_records: the rows that are no header with ``values``,
+    ``n_names`` of their header and ``places``, its map from label to the places of
+    its columns, and the written headers with ``names`` and ``places``.
+
+    The header is one row of its file joined to the others, so that files of any
+    number of layouts are one plan.
     """
-    lines = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.csv").text(paths)
-    starts = lines.select("value", F.col("_metadata.file_path").alias("file"),
-                          F.col("_metadata.file_block_start").alias("start"))
-    return (starts.filter(F.col("start") == 0).groupBy("file")
-            .agg(F.first("value").alias("header")))
+    records = records.where(F.trim(F.col("record")) != "")
+    headers = materialise(cr.headers_of(records, sep).withColumn("places", cr.label_places(F.col("names"))), "headers")
+    rows = (records.join(headers.select("file", "header_at", F.size("names").alias("n_names"), "places"), "file").where("start > 0 or at <> header_at")
+            .withColumn("values", cr.split_record(F.col("record"), sep)))
+    return rows, headers
+
+
+def labelled_columns(rows, labels):
+    """``values`` and ``places`` as one column per label, null where a file has none."""
+    return rows.withColumns({label: cr.value_at(F.col("values"), F.col("places")[label]) for label in labels})
 
 
 def read_by_header(spark, paths, sep=",", keep_path=True):
     """Files whose columns differ, mapped by name and put together by label.
 
-    Positional schemas would swap columns, so files are grouped by header line
-    and each group is one scan. The driver holds file names only, as it does
-    for every scan.
+    A header is the first record of a file that is not blank, parsed as such:
+    names may be quoted and hold separators. Where several columns mean one label
+    the first value counts that is not empty. Columns of unknown names are left
+    out, and so are values beyond the header. Records may go over several lines.
     """
-    groups = {}
-    for row in file_headers(spark, paths).toLocalIterator():
-        groups.setdefault(row["header"], []).append(row["file"])
-    merged = None
-    for header, files in sorted(groups.items()):
-        names = [name.strip().strip('"') for name in header.rstrip("\r").split(sep)]
-        schema = ", ".join(f"`{name}` string" for name in names)
-        scan = with_path(spark.read.schema(schema).options(sep=sep, **_CSV)
-                         .csv(sorted(fx.plain_location(f) for f in files)))
-        labelled = rec.rename_headers(scan, keep=("path",))
-        merged = labelled if merged is None else merged.unionByName(
-            labelled, allowMissingColumns=True)
-    if merged is None:
-        raise ValueError(f"no .csv file below {paths}")
-    return merged if keep_path else merged.drop("path")
+    rows, headers = records_by_header(cr.csv_records(spark, paths, sep), sep)
+    held = {r["label"] for r in headers.select(F.explode(F.map_keys("places")).alias("label")).distinct().collect()}
+    if not held and not headers.limit(1).count():
+        raise ValueError(f"no .csv file with a header below {paths}")
+    labels = [label for label in dict.fromkeys(fx.FOLDED_LABELS.values()) if label in held]
+    named = labelled_columns(rows.withColumn("path", fx.file_path_text(F.col("file"))), labels)
+    return named.select(*(["path"] if keep_path else []), *labels)
 
 
 def read_csv(spark, paths, schema=None, sep=","):

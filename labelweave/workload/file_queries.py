@@ -113,6 +113,43 @@ def s3(spark, sf_dir):
     return merged.select("house_number", "road", "city", "country", "state", "postcode")
 
 
+@query("s1_records_over_lines", f"""with {sql.ADDR}, {_TREE}
+select lon, house_number, concat(substr(road, 1, length(road) - 5), chr(10), '"St."') as road, unit, id from tree""")
+def s1_over_lines(spark, sf_dir):
+    root = fresh_dir(spark, "tree-lines")
+    over = F.concat(F.rtrim(F.replace("STREET", F.lit(' "St."'), F.lit(""))), F.lit('\n"St."'))
+    (_file_columns(spark, sf_dir).withColumn("STREET", over).write.partitionBy("folder1")
+     .option("header", "true").option("escape", '"').csv(root))
+    return af.read_tree_records(spark, root).select("lon", "house_number", "road", "unit", "id")
+
+
+def _odd_layouts(spark, sf_dir):
+    """Files with quoted, doubled and unknown names, separators in names, and
+    values over several lines; every third address in a layout of its own."""
+    root = fresh_dir(spark, "layouts")
+    a = views.addresses(spark, sf_dir)
+    road = F.concat("road", F.lit(',\n"'), "unit", F.lit('"'))
+    layouts = (
+        [F.coalesce("road", F.lit("")).alias("Street, old"), F.col("house_number").alias("Number"), road.alias("STREET"),
+         F.col("city").alias("City")],
+        [F.col("postcode").alias("Post Code"), F.lit("").alias("NUMBER"), F.col("city").alias("CITY"),
+         F.col("house_number").alias("House_Number"), road.alias("road")],
+        [F.col("state").alias("Region"), F.col("city").alias("no,name"), F.col("house_number").alias("house number")])
+    for rest, columns in enumerate(layouts):
+        a.filter(F.col("key") % 3 == rest).select(*columns).write.options(
+            header="true", quoteAll=str(rest != 1).lower(), escape='"').csv(f"{root}/{rest}")
+    return root
+
+
+@query("s3_layouts_in_one_scan", f"""with {sql.ADDR}
+select house_number, case when key % 3 < 2 then road || ',' || chr(10) || '"' || unit || '"' end as road,
+       case when key % 3 < 2 then city end as city, case when key % 3 = 1 then postcode end as postcode,
+       case when key % 3 = 2 then state end as state from addr""")
+def s3_layouts(spark, sf_dir):
+    merged = af.read_by_header(spark, [_odd_layouts(spark, sf_dir)], keep_path=False)
+    return merged.select("house_number", "road", "city", "postcode", "state")
+
+
 @query("s4_inferred_csv_read", """
 select o_orderkey, o_custkey, o_totalprice, o_orderpriority from orders""")
 def s4(spark, sf_dir):
@@ -501,6 +538,23 @@ def st1(spark, sf_dir):
     return _tag_counts(corpora.read_conll(spark, [out]))
 
 
+@query("st1_quarantine", f"""with {sql.ADDR},
+good as (select count(*) as n from addr where key % 2 = 1 and key % 7 <> 0)
+select 'no column of a known name' as reason, count(*) as lines, any_value(good.n) as rows_taken from addr, good where key % 4 = 2
+union all select 'no geocoder result', count(*), any_value(good.n) from addr, good where key % 2 = 1 and key % 7 = 0""")
+def st1_quarantine(spark, sf_dir):
+    root, out = fresh_dir(spark, "uploads"), fresh_dir(spark, "stream-out")
+    a = views.addresses(spark, sf_dir)
+    a.filter("key % 4 = 2").select(F.col("city").alias("foo"), F.col("road").alias("bar")).write.option(
+        "header", "true").csv(f"{root}/csv")
+    line = F.when(F.col("key") % 7 == 0, F.concat(F.lit("no json "), "house_number")).otherwise(_geocoder_json(a))
+    a.filter("key % 2 = 1").select(line.alias("value")).write.text(f"{root}/lines")
+    ingest.run_ingest(spark, root, out, fresh_dir(spark, "stream-state"), sink="parquet", json_files=_JSON_FILES, max_files=5)
+    taken = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows_taken"))
+    found = spark.read.schema("path string, reason string, lines long, example string").json(f"{out}_quarantine")
+    return found.groupBy("reason").agg(F.sum("lines").alias("lines")).join(taken)
+
+
 @query("st2_route_by_name", sql.labelled() + _TAG_COUNTS.format(where=""))
 def st2(spark, sf_dir):
     out = _ingested(spark, _uploads_folder(spark, sf_dir), tag_mode="position",
