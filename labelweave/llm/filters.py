@@ -11,22 +11,30 @@ BITS = (16, 28)  # of a filter, as powers of two: about 12 a key, at least and a
 _SPREAD = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93))
 
 
-def _places(keys, power):
-    return [((keys ^ (keys >> np.uint64(31))) * m) >> np.uint64(64 - power) for m in _SPREAD]
+def _power(bits):
+    return (len(bits) * 64).bit_length() - 1
+
+
+def _place(keys, spread, power):
+    return ((keys ^ (keys >> np.uint64(31))) * spread) >> np.uint64(64 - power)
 
 
 def _set(bits, keys):
-    for place in _places(keys, (len(bits) * 64).bit_length() - 1):
+    for spread in _SPREAD:
+        place = _place(keys, spread, _power(bits))
         np.bitwise_or.at(bits, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
 
 
 def found(bits, keys):
     """Which of the keys (uint64) the filter holds; a filter of None holds none."""
+    out = np.zeros(len(keys), bool)
     if bits is None:
-        return np.zeros(len(keys), bool)
-    out = np.ones(len(keys), bool)
-    for place in _places(keys, (len(bits) * 64).bit_length() - 1):
-        out &= (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
+    left = np.arange(len(keys))
+    for spread in _SPREAD:
+        place = _place(keys[left], spread, _power(bits))
+        left = left[(bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)]
+    out[left] = True
     return out
 
 

@@ -26,8 +26,8 @@ from labelweave.llm.order_minhash import components
 from labelweave.session import materialise
 
 SHINGLE_WORDS = 5
-PAIRED_SETS = 256  # sets of a shingle that are paired with each other; more meet in cells
-CELL_SETS = 64  # sets of a block of such a shingle; a cell has at most two
+PAIRED_SETS = 256  # sets of a shingle that are paired at once; of more the classes are found first
+BATCH_SETS = 2048  # of the cells that are handed to Python together, about
 CELL_SHINGLES = 1 << 18  # of a probe's cell, about
 RARE = 4  # counted sets from which a shingle is frequent; levels are its powers
 LEVELS = 7
@@ -36,6 +36,7 @@ _MARK_BITS = 2048
 _CHUNK = 1 << 20  # bytes hashed at once, about
 _ODD = 0x9E3779B97F4A7C15
 _MASK = 0xFFFFFFFFFFFFFFFF
+_SIZE_STEP = 1.25  # linked sets are of the same class of sizes, or of neighbouring ones
 
 
 # Sets
@@ -72,7 +73,7 @@ def _runs(words):
     count = max(0, len(words) - SHINGLE_WORDS + 1)
     out = np.zeros(count, np.uint64)
     for j in range(SHINGLE_WORDS):
-        out += _mixed(words[j:j + count] + np.uint64(_ODD * (j + 1) & _MASK))
+        out += words[j:j + count] * np.uint64(pow(_ODD, j + 1, 1 << 64))
     return _mixed(out)
 
 
@@ -383,18 +384,23 @@ def _joined(cells, sets, wanted, labels):
     """Links found in the cells: (cell, vid, probe, built), each with its set and
     class."""
     def run(batch):
-        rows = batch.groupby("vid", sort=True).agg(
-            {"probe": "max", "built": "max", "label": "first", "data": "first"}).reset_index()
-        data = [np.frombuffer(d, np.uint64) for d in rows["data"]]
-        at = lambda flag: np.flatnonzero(rows[flag].to_numpy()).tolist()
-        links = cell_links(rows["vid"].tolist(), rows["label"].tolist(), data, at("probe"), at("built"))
+        links = []
+        for _, cell in batch.groupby("cell", sort=False):
+            rows = cell.groupby("vid", sort=True).agg(
+                {"probe": "max", "built": "max", "label": "first", "data": "first"}).reset_index()
+            data = [np.frombuffer(d, np.uint64) for d in rows["data"]]
+            at = lambda flag: np.flatnonzero(rows[flag].to_numpy()).tolist()
+            links += cell_links(rows["vid"].tolist(), rows["label"].tolist(), data, at("probe"), at("built"))
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     known = cells.join(wanted.select("vid", "digest"), "vid")
     known = (known.withColumn("label", F.col("vid")) if labels is None else
              known.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
              .withColumn("label", F.coalesce("label", "vid")))
-    return known.join(sets, "digest").drop("digest").groupBy("cell").applyInPandas(run, "a long, b long")
+    known = materialise(known, "cells")
+    batches = known.count() // BATCH_SETS + 1
+    return (known.join(sets, "digest").drop("digest").groupBy(F.pmod("cell", F.lit(batches)).alias("batch"))
+            .applyInPandas(run, "a long, b long"))
 
 
 def _possible(x, y):
@@ -426,8 +432,10 @@ def _candidates(members, marks):
            .agg(F.count("*").alias("common"), F.max(_possible("x", "y")).alias("possible")))
     rest = F.when(F.col("xlast") <= F.col("ylast"), F.col("xn") - _probe_length("xn")).otherwise(
         F.col("yn") - _probe_length("yn"))
-    pairs = met.where("possible").where(
-        9 * (F.col("common") + F.least("xmore", "ymore") + rest) >= 4 * (F.col("xn") + F.col("yn")))
+    # The first shingle in common may be one of those of more sets.
+    more = F.least("xmore", "ymore")
+    pairs = met.where(F.col("possible") | (more > 0)).where(
+        9 * (F.col("common") + more + rest) >= 4 * (F.col("xn") + F.col("yn")))
     degree = materialise(members.groupBy("vid").agg(F.sum("size").alias("degree")), "degree")
     # Written, so that adaptive execution can split the sets of a hot shingle.
     hubs = materialise(many.join(degree, "vid").groupBy("token").agg(
@@ -438,9 +446,13 @@ def _candidates(members, marks):
                      F.greatest(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("y")))
     named = lambda df, x, xn, y, yn: df.select(
         F.col(x).alias("a"), F.col(xn).alias("an"), F.col(y).alias("b"), F.col(yn).alias("bn"))
-    pairs = materialise(named(pairs, "xvid", "xn", "yvid", "yn").union(
-        named(stars, "x.vid", "x.n", "y.vid", "y.n")).distinct(), "pairs")
-    # What the marks of the rest allow.
+    return _marked(named(pairs, "xvid", "xn", "yvid", "yn").union(
+        named(stars, "x.vid", "x.n", "y.vid", "y.n")).distinct(), marks)
+
+
+def _marked(pairs, marks):
+    """The pairs whose marks allow a link, written."""
+    pairs = materialise(pairs, "pairs")
     mark = lambda s: marks.select(F.col("vid").alias(s), F.col("mark").alias(f"{s}_mark"))
     differ = F.aggregate(F.zip_with("a_mark", "b_mark", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda n, x: n + x)
@@ -449,6 +461,30 @@ def _candidates(members, marks):
                        .select("a", "an", "b", "bn"), "pairs")
 
 
+def _crowded(members, labels, marks):
+    """Written pairs of sets of different classes that have nothing among their
+    first places in common but shingles of more than PAIRED_SETS sets, and may be
+    linked nevertheless. Sets meet by shingle and class of sizes."""
+    many = members.where(F.col("size") > PAIRED_SETS)
+    more = many.groupBy("vid").agg(F.count("*").alias("more"))
+    known = (many.join(materialise(more, "more"), "vid").join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
+             .withColumn("label", F.coalesce("label", "vid"))
+             .withColumn("step", F.floor(F.log(F.col("n")) / F.log(F.lit(_SIZE_STEP)))))
+    known = materialise(known, "known")
+    mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    known = materialise(known.join(materialise(mixed.select("token"), "mixed"), "token"), "mixed")
+    one = F.struct("vid", "n", "pos", "indexed", "last", "more", "label", "step")
+    beside = F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))
+    met = (known.select("token", "step", one.alias("x"))
+           .join(known.select("token", beside.alias("step"), one.alias("y")), ["token", "step"])
+           .where("x.vid < y.vid and x.label <> y.label").where(_possible("x", "y")))
+    ends_x = F.col("x.last") <= F.col("y.last")
+    rest = F.when(ends_x, F.col("x.n") - _probe_length("x.n")).otherwise(F.col("y.n") - _probe_length("y.n"))
+    met = met.where(9 * (F.least("x.more", "y.more") + rest) >= 4 * (F.col("x.n") + F.col("y.n")))
+    return _marked(met.select(F.col("x.vid").alias("a"), F.col("x.n").alias("an"), F.col("y.vid").alias("b"),
+                              F.col("y.n").alias("bn")).distinct(), marks)
+
+
 def _directed(pairs):
     """Both directions of the pairs, as (probe, probe_n, vid, n)."""
     way = lambda p, v: pairs.select(F.col(p).alias("probe"), F.col(f"{p}n").alias("probe_n"),
@@ -493,40 +529,6 @@ def _other_cells(pairs, labels):
     return _probe_cells(chosen.select("probe", "probe_n", "vid", "n"))
 
 
-def _crowded_cells(members, labels):
-    """Cells of all pairs of sets of different classes at a shingle of more than
-    PAIRED_SETS sets.
-
-    A class of many sets of a shingle fills blocks of its own, small ones share
-    blocks; a cell is two blocks, or one, but never two of the same large class.
-    Cells of equal content are one.
-    """
-    known = materialise(members.where(F.col("size") > PAIRED_SETS)
-                        .join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
-                        .withColumn("label", F.coalesce("label", "vid")), "known")
-    mixed = known.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
-    known = materialise(known.join(mixed.select("token"), "token"), "mixed")
-    sizes = known.groupBy("token", "label").agg(F.count("*").alias("sets"))
-    big = F.col("sets") >= CELL_SETS
-    sizes = sizes.withColumns({"own": F.when(big, F.col("label")), "blocks": F.when(big, F.ceil(F.col("sets") / CELL_SETS))})
-    pools = sizes.where(~big).groupBy("token").agg(F.ceil(F.sum("sets") / CELL_SETS).alias("pool"))
-    placed = (known.join(materialise(sizes, "sizes"), ["token", "label"])
-              .join(materialise(pools, "pools"), "token", "left")
-              .withColumn("part", F.pmod(F.xxhash64("vid"), F.coalesce("blocks", "pool")))
-              .select("token", "vid", F.xxhash64("own", "part").alias("block"), "own"))
-    placed = materialise(placed, "placed")
-    blocks = materialise(placed.select("token", "block", "own").distinct(), "cell_blocks")
-    other = blocks.select("token", F.col("block").alias("other"), F.col("own").alias("other_own"))
-    rows = (placed.join(other, "token").where("own is null or other_own is null or own <> other_own")
-            .select(F.xxhash64("token", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), "vid"))
-    rows = materialise(rows.distinct(), "cells")
-    content = rows.groupBy("cell").agg(F.bit_xor(F.xxhash64("vid")).alias("x"), F.count("*").alias("c"),
-                                       F.bit_xor(F.xxhash64(F.lit(1), "vid")).alias("y"))
-    once = content.groupBy("x", "y", "c").agg(F.min("cell").alias("cell")).where("c > 1").select("cell")
-    yes = F.lit(True)
-    return rows.join(materialise(once, "once"), "cell").select("cell", "vid", yes.alias("probe"), yes.alias("built"))
-
-
 def linked_classes(df):
     """doc_id, n_shingles and component_id of every row.
 
@@ -543,7 +545,8 @@ def linked_classes(df):
         listed.where("n > 0").groupBy("digest")
         .agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("mark").isNotNull(), F.col("row"))).alias("vid")), "distinct")
     members = materialise(_postings(listed, sets), "members")
-    pairs = _candidates(members, listed.where("mark is not null").select(F.col("row").alias("vid"), "mark"))
+    marks = listed.where("mark is not null").select(F.col("row").alias("vid"), "mark")
+    pairs = _candidates(members, marks)
     crowd = members.where(F.col("size") > PAIRED_SETS).select("vid")
     vids = pairs.select(F.col("a").alias("vid")).union(pairs.select("b")).union(crowd).distinct()
     wanted = materialise(sets.select("vid", "doc_id", "digest").join(vids, "vid"), "wanted")
@@ -553,8 +556,9 @@ def linked_classes(df):
     labels = components(links)
     links = materialise(links.union(_joined(_other_cells(pairs, labels), data, wanted, labels)), "links")
     labels = components(links)
-    more = materialise(_joined(_crowded_cells(members, labels), data, wanted, labels), "links")
-    if more.limit(1).count():
+    crowded = _crowded(members, labels, marks)
+    if crowded.limit(1).count():
+        more = materialise(_joined(_other_cells(crowded, labels), data, wanted, labels), "links")
         labels = components(links.union(more))
 
     vertex = sets.select("digest", "doc_id", "vid").join(
