@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, StringIndexer, StringIndexerModel, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
@@ -25,9 +25,9 @@ def _shape(token):
             "'[a-z]+', 'x'), '[0-9]+', '9')")
 
 
-def context_rows(df, *keys, tokens="tokens", tag="tag"):
-    """Categorical features per token. Neighbours come from the row's own array,
-    so no row is moved."""
+def context_items(tokens="tokens", tag="tag"):
+    """SQL of the categorical features per token, as an array of structs.
+    Neighbours come from the row's own array."""
     word = "lower(trim({}.token))"
     previous = f"coalesce({word.format('get(all, i - 1)')}, '{START}')"
     following = f"coalesce({word.format('get(all, i + 1)')}, '{END}')"
@@ -39,8 +39,12 @@ def context_rows(df, *keys, tokens="tokens", tag="tag"):
             f"{previous} as previous, {following} as next, "
             "case when i = 0 then 'first' when i = size(all) - 1 then 'last' "
             "else 'inner' end as place)")
-    listed = let("all", tokens, f"transform(all, (t, i) -> {item})")
-    return df.select(*keys, F.inline(F.expr(listed)))
+    return let("all", tokens, f"transform(all, (t, i) -> {item})")
+
+
+def context_rows(df, *keys, tokens="tokens", tag="tag"):
+    """The features as a row per token; no row is moved."""
+    return df.select(*keys, F.inline(F.expr(context_items(tokens, tag))))
 
 
 def token_vectors(df, tokens="words", size=16, min_count=5, seed=0, partitions=None):
@@ -197,6 +201,106 @@ def best_paths(rows, start, moves):
     return out
 
 
+# --- scoring in place ----------------------------------------------------------------
+
+_MUL = (np.uint32(0xCC9E2D51), np.uint32(0x1B873593), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
+
+
+def _rotl(x, r):
+    return (x << np.uint32(r)) | (x >> np.uint32(32 - r))
+
+
+def feature_buckets(texts, buckets, seed=42):
+    """Bucket of every text, as Spark's FeatureHasher places it: 32-bit murmur3 of
+    its bytes. All texts at once, four bytes a step."""
+    data = [text.encode() for text in texts]
+    lengths = np.array([len(d) for d in data], np.int64)
+    width = int(lengths.max(initial=0)) // 4 * 4 + 4
+    held = np.frombuffer(b"".join(d.ljust(width, b"\0") for d in data), "<u4").reshape(len(data), width // 4)
+    h = np.full(len(data), seed, np.uint32)
+    mixed = lambda k: _rotl(k * _MUL[0], 15) * _MUL[1]
+    for i in range(width // 4):
+        whole = lengths >= 4 * (i + 1)
+        tail = ~whole & (lengths > 4 * i)
+        k = mixed(held[:, i])
+        h = np.where(whole, _rotl(h ^ k, 13) * np.uint32(5) + np.uint32(0xE6546B64), np.where(tail, h ^ k, h))
+    h ^= lengths.astype(np.uint32)
+    h = (h ^ (h >> np.uint32(16))) * _MUL[2]
+    h = (h ^ (h >> np.uint32(13))) * _MUL[3]
+    h ^= h >> np.uint32(16)
+    return h.view(np.int32).astype(np.int64) % buckets
+
+
+class Weights:
+    """The regression of a fitted tagger as plain arrays: a row of ``table`` per
+    bucket, a column per tag. Its size is fixed by buckets and tags."""
+
+    def __init__(self, model):
+        hasher = next(s for s in model.stages if isinstance(s, FeatureHasher))
+        regression = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
+        self.features, self.buckets = hasher.getInputCols(), hasher.getNumFeatures()
+        self.table = np.ascontiguousarray(regression.coefficientMatrix.toArray().T)
+        self.intercept = regression.interceptVector.toArray()
+
+    def probabilities(self, rows):
+        """Of every tag for all tokens of the rows, one after the other. A row is
+        a list of (word, shape, prefix, suffix) of its tokens."""
+        flat = [token for row in rows for token in row]
+        held = {name: [token[i] for token in flat] for i, name in enumerate(FEATURES[:4])}
+        held["previous"] = [w for row in rows for w in [START, *(token[0] for token in row)][:len(row)]]
+        held["next"] = [w for row in rows for w in [*(token[0] for token in row[1:]), END][:len(row)]]
+        held["place"] = [p for row in rows for p in (["first"] + ["inner"] * (len(row) - 2) + ["last"])[:len(row)]]
+        margins = self.intercept
+        for name in self.features:
+            codes, distinct = pd.factorize(np.array(held[name], object))
+            margins = margins + self.table[feature_buckets([f"{name}={v}" for v in distinct], self.buckets)[codes]]
+        raised = np.exp(margins - margins.max(axis=1, keepdims=True))
+        return raised / raised.sum(axis=1, keepdims=True)
+
+
+def place_tagger(weights, start, moves):
+    """A pandas function from the (word, shape, prefix, suffix) of a row's tokens to
+    two arrays: the tag indices along its best path, and the probability of each."""
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def tag(items: pd.Series) -> pd.Series:
+        rows = [[] if row is None else list(row) for row in items]
+        if not any(rows):
+            return pd.Series([[[], []] for _ in rows], dtype="object")
+        probabilities = np.split(weights.probabilities(rows), np.cumsum([len(row) for row in rows])[:-1])
+        paths = best_paths([np.log(np.maximum(p, 1e-12)) for p in probabilities], start, moves)
+        return pd.Series([[np.asarray(path, float), p[np.arange(len(path)), path] if len(path) else np.zeros(0)]
+                          for p, path in zip(probabilities, paths)], dtype="object")
+    return tag
+
+
+def tag_in_place(df, weights, names, start, moves, truth=None, tokens="tokens"):
+    """Rows with ``tokens`` tagged where they lie: token, tag, the probability of
+    the tag, and the ``truth`` field of the tokens as ``target``.
+
+    Features, scores and the best path of a row come from the row alone, so
+    nothing is exploded, moved or joined, and a stream can be tagged like a table.
+    A row without tokens, or with null for them, keeps none.
+    """
+    ship_package(df.sparkSession)
+    # Neighbours and places are looked up in Python: Spark leaves a function
+    # alone whose arguments hold conditions.
+    own = (f"transform({tokens}, t -> array(lower(trim(t.token)), {_shape('t.token')}, "
+           "substring(lower(t.token), 1, 2), right(lower(t.token), 2)))")
+    paths = df.withColumn("_path", place_tagger(weights, start, moves)(F.expr(own)))
+    tags = F.array(*[F.lit(tag) for tag in names])
+
+    def tagged(z):
+        target = [z["item"][truth].alias("target")] if truth else []
+        return F.struct(z["item"]["token"].alias("token"), F.get(tags, z["tag"].cast("int")).alias("tag"),
+                        z["sure"].alias("confidence"), *target)
+
+    zipped = F.arrays_zip(F.col(tokens).alias("item"), F.get("_path", F.lit(0)).alias("tag"),
+                          F.get("_path", F.lit(1)).alias("sure"))
+    listed = paths.withColumn(tokens, F.transform(zipped, tagged)).drop("_path")
+    nothing = F.array().cast(listed.schema[tokens].dataType)
+    return listed.withColumn(tokens, F.coalesce(tokens, nothing))
+
+
 def decoder(start, moves):
     """A pandas function from arrays of log emission scores to tag indices."""
     @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from labelweave import fixed
+from labelweave.functions import draws
 from labelweave.functions import text as tx
 from labelweave.functions.binding import unfold
 from labelweave.operators import labelling as lab
@@ -52,14 +53,41 @@ class Tagger:
 
 
 def train(df, key="key", **settings):
-    """Fits a tagger on rows with a key and an array of (token, tag)."""
-    rows = tg.context_rows(df, key)
+    """Fits a tagger on rows with a key and an array of (token, tag). The features
+    are written once for the passes over them."""
+    rows = materialise(tg.context_rows(df, key), "features")
     model = tg.fit_tagger(rows, **settings)
     counts = tg.transition_counts(df, "tokens.tag")
     start, moves = tg.transition_matrix(counts, tg.tag_names(model))
     return Tagger(model, start, moves)
 
 
+GRID = ({"reg": 1e-4, "max_iter": 20}, {"reg": 1e-2, "max_iter": 20}, {"reg": 1e-4, "max_iter": 5})
+
+
+def train_selected(df, key="key", grid=GRID, seed=0):
+    """(tagger, settings, scores): of the settings in ``grid`` the one that tags
+    most tokens right in the validation rows, the first of equals, fitted again on
+    all rows. ``scores`` has a dictionary per setting, with its ``accuracy``, the
+    ``right`` tokens and all ``tokens`` validated.
+
+    Validation rows are a hash draw of the key: the same on every run. With none of
+    them, or none to learn from, the first setting is taken.
+    """
+    known = materialise(df.withColumn("_held", draws.uniform(key, "validation", seed=seed) < fixed.VALIDATION_SHARE), "split")
+    learn, held = known.where("not _held").drop("_held"), known.where("_held").drop("_held")
+    scores = []
+    for setting in grid if learn.limit(1).count() and held.limit(1).count() else ():
+        tagged = tag_texts(train(learn, key, **setting), held.select(key, "tokens"), truth="tag")
+        right = F.size(F.filter("tokens", lambda t: t.tag.eqNullSafe(t.target)))
+        row = tagged.agg(F.coalesce(F.sum(right), F.lit(0)).alias("right"),
+                         F.coalesce(F.sum(F.size("tokens")), F.lit(0)).alias("tokens")).first()
+        scores.append({**setting, "right": row["right"], "tokens": row["tokens"],
+                       "accuracy": row["right"] / row["tokens"] if row["tokens"] else 0.0})
+    best = max(range(len(scores)), key=lambda i: (scores[i]["right"], -i)) if scores else 0
+    return train(df, key, **grid[best]), dict(grid[best]), scores
+
+
 def with_tagged_tokens(df, emissions, names, start, moves, truth=None):
     """All rows of ``df``, their ``tokens`` tagged along the best path.
 
@@ -77,20 +105,20 @@ def with_tagged_tokens(df, emissions, names, start, moves, truth=None):
 
 
 def tag_texts(tagger, df, truth=None):
-    """Rows with ``tokens`` to the same rows with tagged tokens.
+    """Rows with ``tokens`` to the same rows with tagged tokens, each with the
+    probability of its tag; ``df`` may be a stream.
 
     Tokens need no tags; with ``truth="tag"`` those they have are kept beside
     the predicted ones.
     """
-    return with_tagged_tokens(df, lambda rows: tg.scored_rows(tagger.model, rows), tagger.names,
-                              tagger.start, tagger.moves, truth)
+    return tg.tag_in_place(df, tg.Weights(tagger.model), tagger.names, tagger.start, tagger.moves, truth)
 
 
 def score(tagger, df, key="key"):
-    """Token rows with truth and prediction."""
+    """Token rows with truth, prediction and the probability of the prediction."""
     rows = unfold(tag_texts(tagger, df.select(key, "tokens"), truth="tag"), [key], "tokens")
     return rows.select(key, "pos", "item.token", "item.target",
-                       F.col("item.tag").alias("prediction"))
+                       F.col("item.tag").alias("prediction"), "item.confidence")
 
 
 def tokenise_texts(df, text="text"):

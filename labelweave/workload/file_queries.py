@@ -114,7 +114,7 @@ def s3(spark, sf_dir):
 
 
 @query("s1_records_over_lines", f"""with {sql.ADDR}, {_TREE}
-select lon, house_number, concat(substr(road, 1, length(road) - 5), chr(10), '"St."') as road, unit, id from tree""")
+select lon, house_number, concat(substr(road, 1, length(road) - 6), chr(10), '"St."') as road, unit, id from tree""")
 def s1_over_lines(spark, sf_dir):
     root = fresh_dir(spark, "tree-lines")
     over = F.concat(F.rtrim(F.replace("STREET", F.lit(' "St."'), F.lit(""))), F.lit('\n"St."'))
