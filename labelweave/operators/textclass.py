@@ -1,5 +1,7 @@
 """Text classification: cleaning, n-gram features, logistic regression."""
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (IDF, CountVectorizerModel, NGram, StringIndexer, Tokenizer,
@@ -31,13 +33,9 @@ def ngram_rows(df, *keys, words="words", sizes=SIZES):
     return df.select(*keys, F.inline(F.flatten(F.array(*[grams(n) for n in sizes]))))
 
 
-def term_counts(df, words="words", sizes=SIZES):
-    """n, term, uses and documents of every term, in one pass and one shuffle.
-
-    Every row sends a term once, with how often it uses it: the terms of a row
-    are sorted, and a term's uses end where the next term begins. Counts are
-    combined per task before they are moved.
-    """
+def term_uses(df, words="words", sizes=SIZES):
+    """n, term and uses: every row gives a term once, with how often it uses it.
+    The terms of a row are sorted, and a term's uses end where the next begins."""
     def of(n):
         run = ("filter(transform(s, (x, i) -> struct(x as term, i as at, "
                "x <=> get(s, i + 1) as again)), r -> not r.again)")
@@ -45,27 +43,59 @@ def term_counts(df, words="words", sizes=SIZES):
         return let("s", f"sort_array(g{n})", let("r", run, uses))
 
     grams = df.select(*[tx.ngrams(words, n).alias(f"g{n}") for n in sizes])
-    rows = grams.select(F.inline(F.expr(f"concat({', '.join(map(of, sizes))})")))
-    return rows.groupBy("n", "term").agg(F.sum("uses").cast("bigint").alias("count"),
-                                         F.count(F.lit(1)).alias("doc_freq"))
+    return grams.select(F.inline(F.expr(f"concat({', '.join(map(of, sizes))})")))
+
+
+def term_key(term):
+    return F.xxhash64("n", term)
+
 
+def _thresholds(counted, size):
+    """n and the count from which a key may be one of the ``size`` most frequent
+    of its n, by the number of keys of every count."""
+    levels = counted.groupBy("n", "count").agg(F.count(F.lit(1)).alias("keys"))
+    above = F.sum("keys").over(Window.partitionBy("n").orderBy(F.desc("count")))
+    reached = F.when(above >= size, F.col("count"))
+    return levels.select("n", reached.alias("reached")).groupBy("n").agg(
+        F.coalesce(F.max("reached"), F.lit(0)).alias("least"))
 
-def vocabulary(df, words="words", size=fixed.VOCABULARY_SIZE, sizes=SIZES, doc_freq=False):
-    """The most frequent terms per n, with their rank; ties go by term.
 
-    Each top list is found by a bounded heap per task. ``doc_freq`` adds the
-    number of rows that use the term, which the same pass has counted.
+def vocabulary(df, words="words", size=fixed.VOCABULARY_SIZE, sizes=SIZES, doc_freq=False, key=term_key):
+    """The most frequent terms per n, with their rank; ties go by term. ``doc_freq``
+    adds the number of rows that use the term.
+
+    Terms are counted by 64-bit keys first, so that no string is moved for them. A
+    key's count is at least that of each of its terms; terms are resolved and
+    counted by themselves, in a second pass, where the key's count reaches that of
+    the ``size``-th key. If terms that share a key have kept one out, that is, if
+    the last term of a list is below this count, more keys are resolved.
     """
-    order = [F.desc("count"), F.asc("term")]
-    counted = materialise(term_counts(df, words, sizes), "terms")
-    tops = None
-    for n in sizes:
-        top = counted.filter(F.col("n") == n).orderBy(*order).limit(size)
-        # At most ``size`` rows are left here.
-        ranked = top.withColumn("rank", (F.row_number().over(
-            Window.partitionBy("n").orderBy(*order)) - 1).cast("bigint"))
-        tops = ranked if tops is None else tops.unionByName(ranked)
-    return tops if doc_freq else tops.drop("doc_freq")
+    grams = ngram_rows(df, words=words, sizes=sizes).select("n", key("term").alias("key"))
+    counted = materialise(grams.groupBy("n", "key").agg(F.count(F.lit(1)).alias("count")), "keys")
+    order, wanted = [F.desc("count"), F.asc("term")], size
+    while True:
+        least = materialise(_thresholds(counted, wanted), "least")
+        kept = materialise(counted.join(least, "n").where("count >= least").select("n", "key"), "kept")
+        if doc_freq:
+            rows = term_uses(df, words, sizes).withColumn("key", key("term"))
+            counts = [F.sum("uses").cast("bigint").alias("count"), F.count(F.lit(1)).alias("doc_freq")]
+        else:
+            rows = ngram_rows(df, words=words, sizes=sizes).withColumn("key", key("term"))
+            counts = [F.count(F.lit(1)).alias("count")]
+        terms = materialise(rows.join(kept, ["n", "key"]).groupBy("n", "term").agg(*counts), "terms")
+        tops = None
+        for n in sizes:
+            top = terms.filter(F.col("n") == n).orderBy(*order).limit(size)
+            # At most ``size`` rows are left here.
+            ranked = top.withColumn("rank", (F.row_number().over(
+                Window.partitionBy("n").orderBy(*order)) - 1).cast("bigint"))
+            tops = ranked if tops is None else tops.unionByName(ranked)
+        tops = materialise(tops, "vocabulary")
+        short = (tops.groupBy("n").agg(F.min("count").alias("last"), F.count(F.lit(1)).alias("found"))
+                 .join(least, "n").where(f"last < least or (found < {size} and least > 0)"))
+        if not short.limit(1).count():
+            return tops
+        wanted *= 2
 
 
 def inverse_document_frequency(n_docs, terms, min_doc_freq=fixed.MIN_DOC_FREQ):
@@ -122,6 +152,18 @@ def classify(model, df):
     return model.transform(with_clean_text(df))
 
 
+def margins(model):
+    """A pandas function from a feature array to the margin of the fitted
+    two-class regression, from its coefficients alone."""
+    regression = model.stages[-1]
+    weights, intercept = regression.coefficients.toArray(), float(regression.intercept)
+
+    @F.pandas_udf("double")
+    def margin(features: pd.Series) -> pd.Series:
+        return pd.Series([float(np.dot(x, weights)) + intercept for x in features], dtype="float64")
+    return margin
+
+
 def feature_doc_freq(df, terms, words="words"):
     """Documents per vocabulary term, taken from the assembled count vectors."""
     listed = {n: [] for n in SIZES}
