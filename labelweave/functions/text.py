@@ -96,8 +96,12 @@ def character_ids(word):
 
 
 def pieces(token, tag, width):
-    """A word cut into pieces: the first keeps the tag, the rest is marked."""
-    cut = F.regexp_extract_all(token, F.lit(f".{{1,{width}}}"), 0)
+    """A word cut into pieces of so many characters: the first keeps the tag, the
+    rest is marked."""
+    return marked_pieces(F.regexp_extract_all(token, F.lit(f".{{1,{width}}}"), 0), tag)
+
+
+def marked_pieces(cut, tag):
     return F.transform(cut, lambda piece, i: F.struct(
         piece.alias("piece"),
         F.when(i == 0, tag).otherwise(F.lit(fixed.PIECE_TAG)).alias("tag"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from labelweave import fixed
 from labelweave.functions import text as tx
 from labelweave.functions.binding import unfold
+from labelweave.operators import subwords as sw
 from labelweave.operators.sampling import with_row_index
 from labelweave.session import materialise
 
@@ -83,6 +84,13 @@ def encode_pieces(df, *keys, token="token", tag="tag", width=4):
     return rows.select(*keys, F.col("piece_no").cast("bigint").alias("piece_no"), "p.*")
 
 
+def encode_learned(df, *keys, pattern, token="token", tag="tag"):
+    """Piece rows of words cut by ``subwords.prefix_pattern`` of a learned vocabulary."""
+    rows = df.select(*keys, F.posexplode(
+        tx.marked_pieces(sw.cut(F.col(token), pattern), F.col(tag))).alias("piece_no", "p"))
+    return rows.select(*keys, F.col("piece_no").cast("bigint").alias("piece_no"), "p.*")
+
+
 def word_starts(df, flag="is_word_start"):
     """Only the first piece of each word: one row per word again."""
     return df.filter(F.col(flag))

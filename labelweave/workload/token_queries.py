@@ -8,6 +8,7 @@ from labelweave.functions import text as tx
 from labelweave.operators import evaluate as ev
 from labelweave.operators import labelling as lab
 from labelweave.operators import sampling as smp
+from labelweave.operators import subwords as sw
 from labelweave.operators import tokens as tok
 from labelweave.operators import wide
 from labelweave.workload import sql, views
@@ -175,6 +176,52 @@ def t22(spark, sf_dir):
     return tok.encode_pieces(rows.select("key", "pos", "token", "tag"), "key", "pos")
 
 
+_ROUNDS, _PER_ROUND = 3, 8
+
+
+def _learned_sql():
+    rounds = """spellings as (select token as w, count(*) as n from tokens where token <> '' group by token),
+state0 as (select w, n, regexp_replace(w, '(.)', chr(1) || '\\1' || chr(2), 'g') as state from spellings)"""
+    for i in range(_ROUNDS):
+        rounds += f""",
+symbols{i} as (select n, regexp_extract_all(state, chr(1) || '([^' || chr(2) || ']*)' || chr(2), 1) as s from state{i}),
+pairs{i} as (
+  select s[j] as a, s[j + 1] as b, sum(n) as n from (select s, n, unnest(range(1, len(s))) as j from symbols{i})
+  group by 1, 2 having sum(n) >= 2),
+first{i} as (
+  select a, b, n from (select *, unnest(list_distinct([a, b])) as symbol from pairs{i})
+  qualify row_number() over (partition by symbol order by n desc, a, b) = 1),
+chosen{i} as materialized (
+  select a, b, any_value(n) as n from first{i} group by a, b having count(*) = case when a = b then 1 else 2 end
+  order by any_value(n) desc, a, b limit {_PER_ROUND}),
+state{i + 1} as materialized (
+  select w, n, list_reduce([state] || (select coalesce(list(
+      chr(1) || a || chr(2) || chr(1) || b || chr(2) || chr(3) || chr(1) || a || b || chr(2) order by chosen{i}.n desc, a, b), [])
+      from chosen{i}),
+    lambda x, y: replace(x, string_split(y, chr(3))[1], string_split(y, chr(3))[2])) as state
+  from state{i})"""
+    merges = " ".join(f"union select a || b from chosen{i}" for i in range(_ROUNDS))
+    return rounds + f""",
+vocabulary as materialized (select unnest(string_split(w, '')) as piece from spellings {merges}),
+cuts as (
+  select w, 0 as piece_no, cast(1 as bigint) as here, '' as piece from spellings
+  union all
+  select w, piece_no + 1, here + len(best), best from (
+    select c.w, c.piece_no, c.here, arg_max(v.piece, len(v.piece)) as best
+    from cuts c join vocabulary v on starts_with(substr(c.w, c.here), v.piece)
+    where c.here <= len(c.w) group by c.w, c.piece_no, c.here))"""
+
+
+@query("t22_learned_pieces", sql.labelled(_learned_sql()) + """
+select key, cast(pos as bigint) as pos, cast(piece_no - 1 as bigint) as piece_no, piece,
+       case when piece_no = 1 then tag else '[X]' end as tag, piece_no = 1 as is_word_start
+from tokens join cuts on token = w where piece_no > 0""")
+def t22_learned(spark, sf_dir):
+    rows = views.tag_rows(spark, sf_dir)
+    pattern = sw.prefix_pattern(sw.learn_pieces(rows, _ROUNDS, _PER_ROUND, word="token"))
+    return tok.encode_learned(rows.select("key", "pos", "token", "tag"), "key", "pos", pattern=pattern)
+
+
 @query("t23_corpus_profile", sql.labelled() + """
 select 'n_tags' as name, count(distinct tag) as value from tokens
 union all select 'embedding_width', max(len(embedding)) from embeddings
