@@ -60,6 +60,47 @@ def apply_lexicon(df, lexicon, token="token", default=fixed.DEFAULT_POS, name="p
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
 
 
+def _suffix_rows(df, longest, *keep):
+    """Every row with the endings of its token, of up to ``longest`` characters,
+    in lower case: the empty one first."""
+    word = F.lower(F.col("token"))
+    endings = F.transform(F.sequence(F.lit(0), F.least(F.lit(longest), F.char_length(word))), lambda k: F.right(word, k))
+    return df.select(*keep, F.explode(endings).alias("suffix"))
+
+
+def fit_suffixes(df, token="token", tag="tag", longest=4, least=2):
+    """The tag that most different tokens of an ending have, for every ending that
+    at least ``least`` tokens have; the smaller tag wins a tie. A suffix tree as a
+    table: the empty ending stands for all tokens.
+
+    A token counts once for each of its tags, so frequent words, which are not
+    like unknown ones, do not outweigh the others. Counts are combined before they
+    are moved.
+    """
+    kinds = df.select(F.col(token).alias("token"), F.col(tag).alias("tag")).where("token <> '' and tag is not null").distinct()
+    counts = _suffix_rows(kinds, longest, "tag").groupBy("suffix", "tag").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("order"), F.col("tag").alias("tag")))
+    return (counts.groupBy("suffix").agg(best.alias("best"), F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("suffix") == ""))
+            .select("suffix", "n", F.col("best.tag").alias("pos_tag")))
+
+
+def guess_tags(df, lexicon, suffixes, longest=4, token="token"):
+    """token and pos_tag of every different token of ``df`` that the lexicon does
+    not know, by its longest ending in ``suffixes``; shorter ones stand in, down to
+    the empty one. Null and empty tokens are left out."""
+    unknown = df.select(F.col(token).alias("token")).where("token <> ''").distinct().join(
+        lexicon.select("token"), "token", "left_anti")
+    met = _suffix_rows(unknown, longest, "token").join(materialise(suffixes, "suffixes"), "suffix")
+    longest_met = F.max_by("pos_tag", F.char_length("suffix"))
+    return met.groupBy("token").agg(longest_met.alias("pos_tag"))
+
+
+def extend_lexicon(df, lexicon, suffixes, longest=4, token="token"):
+    """The lexicon with a guess for every token of ``df`` that it does not know."""
+    lexicon = materialise(lexicon, "lexicon")
+    return lexicon.unionByName(guess_tags(df, lexicon, suffixes, longest, token))
+
+
 # --- dictionaries ---------------------------------------------------------------
 
 def tag_dictionary(df, document, position, tag="tag", outside=fixed.OUTSIDE_TAG):

@@ -11,6 +11,7 @@ from labelweave.operators import sampling as smp
 from labelweave.operators import subwords as sw
 from labelweave.operators import tokens as tok
 from labelweave.operators import wide
+from labelweave.session import materialise
 from labelweave.workload import sql, views
 from labelweave.workload.registry import query
 
@@ -42,6 +43,31 @@ def t13(spark, sf_dir):
         "conv_id", "turn", "pos", "token", "pos_tag")
 
 
+@query("t13_unknown_tokens", f"""with {_DOC_TOKENS},
+told as (select *, {sql.draw('doc_id', 'split')} < 0.8 as training from doctokens),
+kinds as (select distinct token, lang as tag from told where training and lang is not null),
+endings as (
+  select tag, right(lower(token), k) as suffix
+  from (select *, unnest(range(0, least(4, length(lower(token))) + 1)) as k from kinds)),
+counts as (select suffix, tag, count(*) as n from endings group by suffix, tag),
+suffixes as (
+  select suffix, arg_min(tag, struct_pack(o := -n, t := tag)) as pos_tag from counts
+  group by suffix having sum(n) >= 2 or suffix = ''),
+unknown as (
+  select distinct token from told where not training and token not in (select token from kinds))
+select token, arg_max(pos_tag, length(suffix)) as pos_tag
+from (select token, unnest(range(0, least(4, length(lower(token))) + 1)) as k from unknown) u
+join suffixes on suffix = right(lower(token), k) group by token""")
+def t13_unknown(spark, sf_dir):
+    """Tags, here languages, of the tokens that no training document has."""
+    d = smp.with_split(views.wide_table(spark, sf_dir, "documents", "doc_id", "text", "lang"), "doc_id")
+    rows = materialise(d.select("split", F.explode(tx.tokens(F.col("text"))).alias("token"), F.col("lang").alias("tag"))
+                       .distinct(), "tokens")
+    training = rows.where("split = 'train' and tag is not null")
+    lexicon = tok.fit_lexicon(training)
+    return tok.guess_tags(rows.where("split = 'test'"), lexicon, tok.fit_suffixes(training))
+
+
 @query("t14_document_annotation", """
 select doc_id, 'document' as annotator_type, cast(0 as bigint) as "begin",
        cast(length(text) - 1 as bigint) as "end", text as result from documents""")
