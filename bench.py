@@ -16,8 +16,8 @@ HEADLINE = [
     "a3_shuffle_order", "a4_duplicate_labels", "a5_delete_labels", "a9_full_preset_labels",
     "t3_bio_tags", "t5_annotation_offsets", "t5_long_document_offsets", "t6_annotation_cast",
     "t13_most_frequent_tag", "t15_sentence_split", "t16_sentence_tokens", "t21_tag_dictionary",
-    "s2_records_from_tree", "s3_header_driven_read", "s7_conll_read",
-    "k1_corpus_parquet", "k3_conll_header_before", "st1_stream_ingest",
+    "s2_records_from_tree", "s3_header_driven_read", "s3_layouts_in_one_scan", "s7_conll_read",
+    "k1_corpus_parquet", "k3_conll_header_before", "st1_stream_ingest", "flow_a_prepare",
     "p3_bernoulli_sample", "p4_shuffle_and_mask", "p6_row_index",
     "c5_letters_only", "c8_vocabulary", "c9_idf", "c11_label_index", "c12_text_classifier",
     "g2_context_features", "g3_tagger_scores", "g4_tag_order", "g5_best_path", "g9_batches",

@@ -11,6 +11,7 @@ from labelweave.operators import labelling as lab
 from labelweave.operators import records as rec
 from labelweave.operators import wide
 from labelweave.operators.sampling import with_row_index, with_split
+from labelweave.plans import prepare
 from labelweave.session import fresh_dir
 from labelweave.sources import address_files as af
 from labelweave.sources import corpora
@@ -494,6 +495,32 @@ def k9(spark, sf_dir):
     return corpora.read_entity_dump(spark, path)
 
 
+# --- flow A: a folder tree to a labelled corpus ----------------------------------------------------
+
+_PREPARED = f"""with {sql.ADDR}, {_TREE},
+present as (
+  select 'house_number' as label, house_number as value from tree union all select 'road', road from tree
+  union all select 'unit', unit from tree union all select 'country', folder1 from tree
+  union all select 'state', coalesce(own_state, replace(folder2, '_', ' ')) from tree
+  union all select 'postcode', postcode from tree),
+spoken as (
+  select label, list_filter(regexp_split_to_array(replace(value, '.', ''), '[ _]'), lambda x: x <> '') as w from present
+  where value is not null),
+said as (select label, unnest(w) as token, unnest(range(0, len(w))) as i from spoken)
+select token, case when i = 0 then 'B-' else 'I-' end || label as tag, count(*) as n from said group by all"""
+
+
+@query("flow_a_prepare", _PREPARED)
+def flow_a(spark, sf_dir):
+    """The whole preparation, files to files; orders differ by row, so that the
+    tokens and tags of the corpus are compared, not their order."""
+    out = fresh_dir(spark, "prepared")
+    prepare.prepare_corpus(spark, _write_tree(spark, sf_dir), out, augmentation=PRESETS["none"])
+    said = unfold(corpora.read_annotated(spark, out), [], "label", value="a")
+    return said.groupBy(F.col("a.metadata.word").alias("token"), F.col("a.result").alias("tag")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 # --- ST: the stream ------------------------------------------------------------------------------
 
 def _uploads_folder(spark, sf_dir):
