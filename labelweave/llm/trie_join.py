@@ -27,7 +27,7 @@ from labelweave.session import materialise
 
 SHINGLE_WORDS = 5
 PAIRED_SETS = 256  # sets of a shingle that are paired at once; of more the classes are found first
-BATCH_SETS = 2048  # of the cells that are handed to Python together, about
+BATCH_SHINGLES = 1 << 20  # of the cells that are handed to Python together, about
 CELL_SHINGLES = 1 << 18  # of a probe's cell, about
 RARE = 4  # counted sets from which a shingle is frequent; levels are its powers
 LEVELS = 7
@@ -393,13 +393,13 @@ def _joined(cells, sets, wanted, labels):
             links += cell_links(rows["vid"].tolist(), rows["label"].tolist(), data, at("probe"), at("built"))
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    known = cells.join(wanted.select("vid", "digest"), "vid")
+    known = cells.join(wanted.select("vid", "digest", "n"), "vid")
     known = (known.withColumn("label", F.col("vid")) if labels is None else
              known.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
              .withColumn("label", F.coalesce("label", "vid")))
     known = materialise(known, "cells")
-    batches = known.count() // BATCH_SETS + 1
-    return (known.join(sets, "digest").drop("digest").groupBy(F.pmod("cell", F.lit(batches)).alias("batch"))
+    batches = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"] // BATCH_SHINGLES + 1
+    return (known.join(sets, "digest").drop("digest", "n").groupBy(F.pmod("cell", F.lit(batches)).alias("batch"))
             .applyInPandas(run, "a long, b long"))
 
 
@@ -543,13 +543,13 @@ def linked_classes(df):
     listed = materialise(_listed(docs, bits), "listed")
     sets = materialise(
         listed.where("n > 0").groupBy("digest")
-        .agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("mark").isNotNull(), F.col("row"))).alias("vid")), "distinct")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min(F.when(F.col("mark").isNotNull(), F.col("row"))).alias("vid")), "distinct")
     members = materialise(_postings(listed, sets), "members")
     marks = listed.where("mark is not null").select(F.col("row").alias("vid"), "mark")
     pairs = _candidates(members, marks)
     crowd = members.where(F.col("size") > PAIRED_SETS).select("vid")
     vids = pairs.select(F.col("a").alias("vid")).union(pairs.select("b")).union(crowd).distinct()
-    wanted = materialise(sets.select("vid", "doc_id", "digest").join(vids, "vid"), "wanted")
+    wanted = materialise(sets.select("vid", "doc_id", "digest", "n").join(vids, "vid"), "wanted")
     data = materialise(_sets_of(docs, wanted, bits), "sets")
 
     links = materialise(_joined(_first_cells(pairs), data, wanted, None), "links")

@@ -85,10 +85,10 @@ def test_shingles_are_those_of_the_words(monkeypatch):
         assert len(both) == len(plain_set(a) & plain_set(b))
 
 
-@pytest.mark.parametrize("paired, batch, shingles, rare", [(256, 2048, 1 << 18, 4), (8, 10, 1 << 18, 2), (2, 2048, 100, 2)])
+@pytest.mark.parametrize("paired, batch, shingles, rare", [(256, 1 << 20, 1 << 18, 4), (8, 1000, 1 << 18, 2), (2, 1 << 20, 100, 2)])
 def test_classes_of_odd_documents(spark, monkeypatch, paired, batch, shingles, rare):
     monkeypatch.setattr(trie_join, "PAIRED_SETS", paired)
-    monkeypatch.setattr(trie_join, "BATCH_SETS", batch)
+    monkeypatch.setattr(trie_join, "BATCH_SHINGLES", batch)
     monkeypatch.setattr(trie_join, "CELL_SHINGLES", shingles)
     monkeypatch.setattr(trie_join, "RARE", rare)
     rng = random.Random(5)
