@@ -71,6 +71,19 @@ def test_the_order_is_whole_and_filters_forget_nothing(spark):
     assert trie_join.ordered(tokens, None).tolist() == tokens.tolist()
 
 
+def test_the_driver_sees_a_filter_as_few_rows(spark, monkeypatch):
+    frame = spark.range(60_000)
+    keys = lambda b: trie_join._mixed(b["id"].to_numpy().view(np.uint64))
+    seen, collect = [], type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    bits = filters.filter_of(keys, frame, 60_000)
+    assert seen and sum(map(len, seen)) <= len(bits) >> filters._PIECE
+    ids = np.arange(120_000).astype(np.uint64)
+    inside = filters.found(bits, trie_join._mixed(ids))
+    assert inside[:60_000].all() and inside[60_000:].mean() < 0.05
+    assert filters.filter_of(keys, frame.limit(0), 0) is None
+
+
 def test_shingles_are_those_of_the_words(monkeypatch):
     rng = random.Random(2)
     texts = ["", " ", "a", "A b", "a B c d e", "É ß x y z É", "same same same same same same same"]
