@@ -27,7 +27,9 @@ KMER_WORDS = 5
 SKETCHES = 48
 SKETCH_KMERS = 3
 SMALL_BUCKET = 32  # texts that are compared with each other; more are refined
+CELL_TEXTS = 2048  # at most about so many texts of a large bucket are compared with as many others in a task
 SIMILARITY = (4, 5)  # 0.8 as a fraction
+_MARK_BITS = 2048
 _MANY = 20_000  # k-mers beyond which hash functions are applied one by one
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -147,6 +149,31 @@ def similar(a, b):
     return len(a) > 0 and len(b) > 0 and aligned_words(a, b) >= _needed(len(a), len(b))
 
 
+def mark(words):
+    """Hashed words in 2048 bits, each the parity of the words it stands for: two
+    texts differ in at least as many words as their marks in bits."""
+    odd = np.bincount((words & (_MARK_BITS - 1)).astype(np.int64), minlength=_MARK_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def possible_pairs(vids, words, labels, marks, left, right):
+    """Pairs (a, b) of different labels, one at ``left``, one at ``right``, whose
+    numbers of words and marks do not forbid the similarity."""
+    over, under = SIMILARITY
+    marks = np.frombuffer(b"".join(marks), np.uint64).reshape(-1, _MARK_BITS // 64)
+    right = right[np.argsort(words[right], kind="stable")]
+    sizes, right_marks, found = words[right], marks[right], []
+    low = np.searchsorted(sizes, -(-over * words[left] // under), "left")
+    high = np.searchsorted(sizes, under * words[left] // over, "right")
+    for i, p in enumerate(left.tolist()):
+        at = slice(low[i], high[i])
+        differ = np.bitwise_count(right_marks[at] ^ marks[p]).sum(axis=1, dtype=np.int64)
+        spare = words[p] + sizes[at] - 2 * -(-over * np.maximum(words[p], sizes[at]) // under)
+        to = right[at][(differ <= spare) & (labels[right[at]] != labels[p])]
+        found.append(np.stack([np.minimum(vids[p], vids[to]), np.maximum(vids[p], vids[to])]))
+    return np.unique(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1), axis=1)
+
+
 # On Spark
 
 def _sketched(docs):
@@ -258,6 +285,32 @@ def _small_pairs(members):
             .where(_within_size(F.col("words"), F.col("b_words"))).select(F.col("vid").alias("a"), "b"))
 
 
+def _crowded_pairs(crowded, labels, words):
+    """Pairs (a, b) of different classes in the buckets of ``crowded`` that may be
+    similar: all pairs are compared by their marks, in cells of two blocks of a bucket."""
+    def marked(batches):
+        for batch in batches:
+            yield pd.DataFrame({"vid": batch["vid"], "mark": [mark(np.frombuffer(d, np.uint32)) for d in batch["data"]]})
+
+    def run(key, cell):
+        column = lambda c: cell[c].to_numpy(np.int64)
+        left, right = (np.flatnonzero(column("block") == at) for at in key[1:])
+        a, b = possible_pairs(column("vid"), column("words"), column("label"), cell["mark"], left, right)
+        return pd.DataFrame({"a": a, "b": b})
+
+    known = materialise(crowded.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
+                        .withColumn("label", F.coalesce("label", "vid")), "crowded")
+    mixed = known.groupBy("key").agg(F.count("*").alias("size"), (F.min("label") != F.max("label")).alias("open"))
+    blocks = materialise(mixed.where("open").select("key", F.ceil(F.col("size") / CELL_TEXTS).alias("blocks")), "blocks")
+    known = known.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")))
+    marks = materialise(words.join(known.select("vid").distinct(), "vid").mapInPandas(marked, "vid long, mark binary"), "marks")
+    cells = known.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return (cells.join(marks, "vid")
+            .select("key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
+                    "vid", "words", "label", "block", "mark")
+            .groupBy("key", "first", "second").applyInPandas(run, "a long, b long"))
+
+
 def _merged(labels, found):
     """The labels when new links join classes; only those classes are worked on."""
     of = lambda s: labels.select(F.col("vertex").alias(s), F.col("label").alias(f"label_{s}"))
@@ -304,7 +357,7 @@ def near_duplicates(df):
     first = members.join(degree, "vid").withColumn("label", F.col("vid"))
     tested = _untested(_star_pairs(first, F.col("degree")), None)
     labels = components(materialise(_verified(tested, words), "links"))
-    members, turn, used = members.select("key", "vid", "words", "nth"), 0, 1
+    members, turn, used, crowded = members.select("key", "vid", "words", "nth"), 0, 1, None
     while True:
         known = materialise(members.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
                             .withColumn("label", F.coalesce("label", "vid")), "members")
@@ -316,6 +369,8 @@ def near_duplicates(df):
             break
         pairs, turn, open_ = [], turn + 1, known.join(mixed, "key")
         refining = True in kinds and used < SKETCHES
+        if turn == 1 and refining:
+            crowded = materialise(open_.where("large").select("key", "vid", "words"), "crowded")
         if False in kinds:
             pairs.append(_small_pairs(materialise(open_.where("not large").select("key", "vid", "words", "label"), "small")))
         if refining:
@@ -336,6 +391,10 @@ def near_duplicates(df):
             labels = _merged(labels, found)
         if not refining:
             break
+    if crowded is not None:
+        found = materialise(_verified(_untested(_crowded_pairs(crowded, labels, words), tested), words), "links")
+        if found.limit(1).count():
+            labels = _merged(labels, found)
 
     vertex = distinct.select("digest", "doc_id", "vid").join(
         labels.withColumnRenamed("vertex", "vid"), "vid", "left").withColumn("label", F.coalesce("label", "vid"))

@@ -102,3 +102,35 @@ def test_components_of_chains(spark):
     chain = materialise(spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)], "a long, b long"), "links")
     got = {r["vertex"]: r["label"] for r in om.components(chain).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_no_pair_of_a_large_bucket_is_lost(spark):
+    """Pairs of near copies that have five-word runs in common with each other
+    where all texts have: they only meet in buckets of all."""
+    passage, rows = words("passage", 80), []
+    for i in range(60):
+        own = words(f"a{i}x", 100)
+        for copy in (0, 1):
+            rows.append((2 * i + copy, " ".join(passage + [f"{w}e{copy}" if j % 5 == 0 else w for j, w in enumerate(own)])))
+    texts = {doc: om.word_hashes(om.words_of(text)) for doc, text in rows}
+    sketches = {doc: om.sketch(om.kmer_hashes(t)) for doc, t in texts.items()}
+    met = [i for i in range(60) if (sketches[2 * i] == sketches[2 * i + 1]).any()]
+    assert len(met) > 20 and all(om.similar(texts[2 * i], texts[2 * i + 1]) for i in met)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in om.near_duplicates(frame).collect()}
+    assert got == {doc: doc - 1 if doc % 2 and doc // 2 in met else doc for doc in texts}
+
+
+def test_marks_forbid_no_similar_pair():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 1 << 32, 80).astype(np.uint32)]
+    for _ in range(150):
+        old = texts[rng.integers(len(texts))]
+        keep = old[rng.random(len(old)) > 0.06]
+        texts.append(np.concatenate([keep, rng.integers(0, 1 << 32, rng.integers(0, 12)).astype(np.uint32)]))
+    n, at = np.array([len(t) for t in texts]), np.arange(len(texts))
+    for left, right in ((at, at), (at[::2], at[1::2])):
+        a, b = om.possible_pairs(at, n, at % 40, [om.mark(t) for t in texts], left, right)
+        want = {(min(i, j), max(i, j)) for i in left.tolist() for j in right.tolist()
+                if (i - j) % 40 and om.similar(texts[i], texts[j])}
+        assert want and want <= set(zip(a.tolist(), b.tolist())) and len(a) < len(left) * len(right) // 2
