@@ -5,6 +5,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from labelweave import fixed
+from labelweave.functions import text as tx
 from labelweave.operators import textclass as tc
 
 
@@ -27,3 +29,37 @@ def test_top_terms_whatever_keys_they_share(spark, bits, doc_freq):
                           for r in got if r["n"] == n)
             assert mine == [(i, term, -c, docs[n, term]) for i, (c, term) in enumerate(top)]
     assert tc.vocabulary(df.limit(0), size=3).count() == 0
+
+
+@pytest.mark.parametrize("part, sent", [(1 << 20, 1 << 17), (7, 1 << 17), (1 << 20, 2)])
+def test_words_are_counted_before_they_are_moved(spark, monkeypatch, part, sent):
+    """Rows of a count are at most the different n-grams of a part, in the second
+    pass those of the wanted keys only."""
+    monkeypatch.setattr(tc, "_SENT", sent)
+    rows = [["a", "b", "a", "b", "", "é"], None, [], ["a", "b"] * 40, ["c"], ["", ""]]
+    df = spark.createDataFrame([(r,) for r in rows], "words array<string>").coalesce(1)
+    grams = [[(n, " ".join(r[i:i + n])) for n in tc.SIZES for i in range(len(r) - n + 1)] for r in rows if r]
+    uses = Counter(g for row in grams for g in row)
+    assert tc.hash_counts(df).count() == len(uses)
+    got = {(r["n"], r["term"]): (r["uses"], r["docs"]) for r in tc.term_counts(df).collect()}
+    assert got == {g: (n, sum(g in row for row in grams)) for g, n in uses.items()}
+    top = tc.vocabulary(df, size=2, doc_freq=True).collect()
+    for n in tc.SIZES:
+        want = sorted((-c, term) for (m, term), c in uses.items() if m == n)[:2]
+        assert sorted((-r["count"], r["term"], r["doc_freq"]) for r in top if r["n"] == n) == [
+            (c, term, got[n, term][1]) for c, term in want]
+
+
+def test_letters_are_those_of_the_pattern(spark):
+    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [(str(i), "aZ " + "".join(map(chr, every[i:i + 4096])) + " b") for i in range(0, len(every), 4096)]
+    texts += [("null", None), ("empty", ""), ("mail", "x@y see http://a.b/c, HTTPS://d and www.e.f/g wwwx")]
+    df = spark.createDataFrame(texts, "id string, text string")
+    x = F.col("text")
+    same = [tx.letters_only(x).eqNullSafe(F.trim(F.regexp_replace(x, fixed.NOT_LETTER_OR_BLANK, ""))),
+            tx.drop_handles_and_urls(x).eqNullSafe(F.regexp_replace(x, fixed.HANDLE_OR_URL, "")),
+            tx.drop_www(x).eqNullSafe(F.regexp_replace(x, fixed.WWW, ""))]
+    for condition in same:
+        assert df.where(~condition).count() == 0
+    plan = df.select(tx.letters_only(x))._jdf.queryExecution().optimizedPlan().toString()
+    assert fixed.NOT_LETTER_OR_BLANK not in plan
