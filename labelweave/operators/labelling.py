@@ -1,5 +1,8 @@
 """Records to labelled text. Every step is a projection: no row is moved."""
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from labelweave.config import PRESETS
@@ -75,6 +78,29 @@ def annotation_rows(df, *keys, label="label"):
                          F.col("a.end").cast("bigint").alias("end"))
 
 
+def offset_rows(df, key, words="words"):
+    """One row per word of rows with very many: position, token and offsets in the
+    blank-joined text. The words of 256 rows are reckoned at once, as numbers."""
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                some = batch.slice(at, 256)
+                some = some.filter(some.column(1).is_valid())
+                token = some.column(1).flatten()
+                sizes = np.diff(some.column(1).offsets.to_numpy())
+                ends = np.cumsum(pc.utf8_length(token).to_numpy().astype(np.int64) + 1)
+                begin = np.concatenate([np.zeros(1, np.int64), ends])
+                first = np.cumsum(sizes) - sizes
+                base, start = np.repeat(begin[first], sizes), np.repeat(first, sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))),
+                     pa.array(np.arange(len(token)) - start), token, pa.array(begin[:-1] - base),
+                     pa.array(ends - base - 2)], [key, "pos", "token", "begin", "end"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, words).mapInArrow(run, f"`{key}` {kind}, pos long, token string, begin long, end long")
+
+
 def token_rows(df, *keys, tokens="tokens"):
     """One row per labelled token."""
     listed = unfold(df, keys, tokens, value="t")

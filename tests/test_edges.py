@@ -5,6 +5,7 @@ import json
 import numpy as np
 from pyspark.sql import functions as F
 
+from labelweave.operators import labelling as lab
 from labelweave.operators import tagger as tg
 from labelweave.operators import tokens as tok
 from labelweave.plans import tagging
@@ -93,3 +94,15 @@ def test_geocoder_spellings_and_unreadable_lines(spark, tmp_path):
 def test_raw_lines_skip_the_first_line_of_a_file_only(spark, tmp_path):
     (tmp_path / "a.csv").write_text('lon,lat\n1,"x,y"\nlon,lat\n\n2,z\n')
     assert [r["value"] for r in af.read_raw_lines(spark, str(tmp_path)).collect()] == ['1,"x,y"', "lon,lat", "2,z"]
+
+
+def test_offsets_of_long_rows_are_those_of_the_annotations(spark):
+    rows = [(i, [f"w{'é日😀x'[j % 4] * (j % 5)}{i}" for j in range(i * 37 % 300)]) for i in range(700)]
+    rows += [(7, ["a", "", "b"]), (None, ["x"]), (1, None), (2, [])]
+    df = spark.createDataFrame(rows, "key long, words array<string>").coalesce(1)
+    want = lab.annotation_rows(lab.annotate(df.selectExpr(
+        "key", "transform(words, w -> struct(w as token, 'O' as tag)) as tokens")), "key").drop("tag")
+    got = lab.offset_rows(df, "key")
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert lab.offset_rows(df.limit(0), "key").count() == 0
+    assert "transform(" not in got._jdf.queryExecution().optimizedPlan().toString()
