@@ -29,6 +29,7 @@ SHINGLE_WORDS = 5
 PAIRED_SETS = 256  # sets of a shingle that are paired at once; of more the classes are found first
 BATCH_SHINGLES = 1 << 20  # of the cells that are handed to Python together, about
 CELL_SHINGLES = 1 << 18  # of a probe's cell, about
+CELL_SETS = 4096  # sets of a hot shingle that are compared with as many others in a task, about
 RARE = 4  # counted sets from which a shingle is frequent; levels are its powers
 LEVELS = 7
 _HASH_BITS = 60  # of a shingle; the three bits above are its level, the sign stays free
@@ -129,6 +130,10 @@ def probe_length(n):
     return n - -(-4 * n // 5) + 1 if n else 0
 
 
+def probe_length_of(sizes):
+    return sizes - -(-4 * sizes // 5) + 1
+
+
 def index_length(n):
     return n - -(-8 * n // 9) + 1 if n else 0
 
@@ -259,14 +264,18 @@ def _owner_keys(ids, digests):
 
 def _sets_of(docs, wanted, bits):
     """digest and places (sorted, as bytes) of the wanted vid, doc_id, digest and
-    of few others. A filter picks them out of the scan, so that no text is moved;
-    the joins on the digest are exact. A set may come once from every task."""
+    of few others. Filters pick them out of the scan, so that no text is moved, and
+    by the documents before shingles are made; the joins on the digest are exact. A
+    set may come once from every task."""
+    keys = lambda b: _mixed(b["doc_id"].astype("Int64").fillna(-1).to_numpy(dtype=np.int64).view(np.uint64))
+    some = filter_of(keys, wanted.select("doc_id"), wanted.count())
     owners = filter_of(lambda b: _owner_keys(b["doc_id"].astype("Int64"), b["digest"]),
                        wanted.select("doc_id", "digest"), wanted.count())
 
     def run(batches):
         seen = set()
         for batch in batches:
+            batch = batch[found(some, keys(batch))]
             rows = [(_digest(t), t) for t in shingle_sets(batch["text"])]
             keep = found(owners, _owner_keys(batch["doc_id"].astype("Int64"), [d for d, _ in rows]))
             out = []
@@ -413,22 +422,47 @@ def _possible(x, y):
             & F.when(first, F.col(f"{x}.indexed")).otherwise(F.col(f"{y}.indexed")))
 
 
-def _candidates(members, marks):
-    """Written pairs (a, an, b, bn) of sets, with their sizes, that may be linked.
+def _star_pairs(members, marks):
+    """Written pairs (a, an, b, bn) of sets, with their sizes: every set with the hub of
+    each of its shingles, the set that shares most shingles with others, if it may
+    be linked with it. They are no more than the places of the sets."""
+    degree = materialise(members.groupBy("vid").agg(F.sum("size").alias("degree")), "degree")
+    # Written, so that adaptive execution can split the sets of a hot shingle.
+    hubs = materialise(members.join(degree, "vid").groupBy("token").agg(
+        F.max(F.struct("degree", "vid", "n", "pos", "indexed")).alias("y")), "hubs")
+    stars = (members.select("token", F.struct("vid", "n", "pos", "indexed").alias("x")).join(hubs, "token")
+             .where("x.vid <> y.vid").where(_possible("x", "y"))
+             .select(F.least(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("x"),
+                     F.greatest(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("y")))
+    return _marked(stars.select(F.col("x.vid").alias("a"), F.col("x.n").alias("an"), F.col("y.vid").alias("b"),
+                                F.col("y.n").alias("bn")).distinct(), marks)
+
+
+def _between(members, labels):
+    """The places of sets at shingles that sets of several classes have, written, with
+    the class, and with ``more``, how many of them are shingles of more than
+    PAIRED_SETS sets."""
+    known = materialise(members.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
+                        .withColumn("label", F.coalesce("label", "vid")), "known")
+    mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    known = materialise(known.join(materialise(mixed.select("token"), "mixed"), "token"), "mixed")
+    more = known.where(F.col("size") > PAIRED_SETS).groupBy("vid").agg(F.count("*").alias("more"))
+    return known.join(materialise(more, "more"), "vid", "left").fillna(0, ["more"])
+
+
+def _candidates(known, marks):
+    """Written pairs (a, an, b, bn) of sets of different classes that may be linked.
 
     Sets that meet at a shingle of at most PAIRED_SETS are paired, and what all
     their first places have in common bounds their overlap: of the one whose first
     places end first, none of them is in the other but those. A shingle of more
-    sets could be in common beside those. There all are paired with one hub, the
-    set that shares most shingles with others.
+    sets could be in common beside those.
     """
-    crowded = F.col("size") > PAIRED_SETS
-    many = materialise(members.where(crowded), "many")
-    more = many.groupBy("vid").agg(F.count("*").alias("more"))
-    few = members.where(~crowded).join(materialise(more, "more"), "vid", "left").fillna(0, ["more"])
-    side = lambda s: few.select("token", F.struct("vid", "n", "pos", "indexed", "last", "more").alias(s))
+    few = known.where(F.col("size") <= PAIRED_SETS)
+    side = lambda s: few.select("token", F.struct(
+        "vid", "n", "pos", "indexed", "last", "more", "label").alias(s))
     ends = [F.col(f"{s}.{c}").alias(f"{s}{c}") for s in "xy" for c in ("vid", "n", "last", "more")]
-    met = (side("x").join(side("y"), "token").where("x.vid < y.vid").groupBy(*ends)
+    met = (side("x").join(side("y"), "token").where("x.vid < y.vid and x.label <> y.label").groupBy(*ends)
            .agg(F.count("*").alias("common"), F.max(_possible("x", "y")).alias("possible")))
     rest = F.when(F.col("xlast") <= F.col("ylast"), F.col("xn") - _probe_length("xn")).otherwise(
         F.col("yn") - _probe_length("yn"))
@@ -436,18 +470,8 @@ def _candidates(members, marks):
     more = F.least("xmore", "ymore")
     pairs = met.where(F.col("possible") | (more > 0)).where(
         9 * (F.col("common") + more + rest) >= 4 * (F.col("xn") + F.col("yn")))
-    degree = materialise(members.groupBy("vid").agg(F.sum("size").alias("degree")), "degree")
-    # Written, so that adaptive execution can split the sets of a hot shingle.
-    hubs = materialise(many.join(degree, "vid").groupBy("token").agg(
-        F.max(F.struct("degree", "vid", "n", "pos", "indexed")).alias("y")), "hubs")
-    stars = (many.select("token", F.struct("vid", "n", "pos", "indexed").alias("x")).join(hubs, "token")
-             .where("x.vid <> y.vid").where(_possible("x", "y"))
-             .select(F.least(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("x"),
-                     F.greatest(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("y")))
-    named = lambda df, x, xn, y, yn: df.select(
-        F.col(x).alias("a"), F.col(xn).alias("an"), F.col(y).alias("b"), F.col(yn).alias("bn"))
-    return _marked(named(pairs, "xvid", "xn", "yvid", "yn").union(
-        named(stars, "x.vid", "x.n", "y.vid", "y.n")).distinct(), marks)
+    return _marked(pairs.select(F.col("xvid").alias("a"), F.col("xn").alias("an"), F.col("yvid").alias("b"),
+                                F.col("yn").alias("bn")), marks)
 
 
 def _marked(pairs, marks):
@@ -461,28 +485,65 @@ def _marked(pairs, marks):
                        .select("a", "an", "b", "bn"), "pairs")
 
 
-def _crowded(members, labels, marks):
+def possible_pairs(cell, left, right):
+    """Columns (a, an, b, bn) of the pairs of rows of different classes, one at
+    ``left``, one at ``right``, that may be linked, if the shingle of the cell is the
+    first that they share and nothing but ``more`` shingles of their first places is
+    shared. The sizes, the marks and what remains of both bound the overlap."""
+    right = right[np.argsort(cell["n"].to_numpy()[right], kind="stable")]
+    vid, n, pos, indexed, last, more, label = (
+        cell[c].to_numpy() for c in ("vid", "n", "pos", "indexed", "last", "more", "label"))
+    marks = np.array([np.asarray(m, np.int64) for m in cell["mark"]]).view(np.uint64)
+    low = np.searchsorted(n[right], -(-4 * n[left] // 5), "left")
+    high = np.searchsorted(n[right], 5 * n[left] // 4, "right")
+    after = n - probe_length_of(n)
+    found = [np.empty((4, 0), np.int64)]
+    for i, p in enumerate(left.tolist()):
+        to = right[low[i]:high[i]]
+        both = n[p] + n[to]
+        shorter = (n[p] < n[to]) | ((n[p] == n[to]) & (vid[p] < vid[to]))
+        to = to[(label[p] != label[to]) & (9 * np.minimum(n[p] - pos[p], n[to] - pos[to]) >= 4 * both)
+                & np.where(shorter, indexed[p], indexed[to])
+                & (9 * (np.minimum(more[p], more[to]) + np.where(last[p] <= last[to], after[p], after[to])) >= 4 * both)]
+        differ = np.bitwise_count(marks[to] ^ marks[p]).sum(axis=1, dtype=np.int64)
+        both = n[p] + n[to]
+        to = to[differ <= both - 2 * -(-4 * both // 9)]
+        first = vid[p] < vid[to]
+        found.append(np.where(first, [np.full(len(to), vid[p]), np.full(len(to), n[p]), vid[to], n[to]],
+                              [vid[to], n[to], np.full(len(to), vid[p]), np.full(len(to), n[p])]))
+    return np.unique(np.concatenate(found, axis=1), axis=1)
+
+
+def _crowded(known, marks):
     """Written pairs of sets of different classes that have nothing among their
     first places in common but shingles of more than PAIRED_SETS sets, and may be
-    linked nevertheless. Sets meet by shingle and class of sizes."""
-    many = members.where(F.col("size") > PAIRED_SETS)
-    more = many.groupBy("vid").agg(F.count("*").alias("more"))
-    known = (many.join(materialise(more, "more"), "vid").join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
-             .withColumn("label", F.coalesce("label", "vid"))
+    linked nevertheless. Sets meet by shingle and class of sizes, in cells of two
+    blocks of at most about CELL_SETS; only what the marks allow leaves a cell."""
+    steps = (known.where(F.col("size") > PAIRED_SETS).drop("size")
              .withColumn("step", F.floor(F.log(F.col("n")) / F.log(F.lit(_SIZE_STEP)))))
-    known = materialise(known, "known")
-    mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    known = materialise(known.join(materialise(mixed.select("token"), "mixed"), "token"), "mixed")
-    one = F.struct("vid", "n", "pos", "indexed", "last", "more", "label", "step")
-    beside = F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))
-    met = (known.select("token", "step", one.alias("x"))
-           .join(known.select("token", beside.alias("step"), one.alias("y")), ["token", "step"])
-           .where("x.vid < y.vid and x.label <> y.label").where(_possible("x", "y")))
-    ends_x = F.col("x.last") <= F.col("y.last")
-    rest = F.when(ends_x, F.col("x.n") - _probe_length("x.n")).otherwise(F.col("y.n") - _probe_length("y.n"))
-    met = met.where(9 * (F.least("x.more", "y.more") + rest) >= 4 * (F.col("x.n") + F.col("y.n")))
-    return _marked(met.select(F.col("x.vid").alias("a"), F.col("x.n").alias("an"), F.col("y.vid").alias("b"),
-                              F.col("y.n").alias("bn")).distinct(), marks)
+    blocks = (steps.groupBy("token", "step").agg(F.count("*").alias("size"))
+              .groupBy("token").agg(F.ceil(F.max("size") / CELL_SETS).alias("blocks")))
+    placed = (steps.join(materialise(blocks, "blocks"), "token").join(marks, "vid")
+              .withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks"))))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    cell = lambda step, first, second, right: F.struct(
+        step.alias("of"), first.alias("first"), second.alias("second"), F.lit(right).alias("right"))
+    # A set is at the left with the sets of its step and of the next, at the right with those of its step and the last.
+    cells = F.explode(F.concat(
+        F.transform(every, lambda o: cell(F.col("step"), F.col("block"), o, False)),
+        F.transform(F.filter(every, lambda o: o < F.col("block")), lambda o: cell(F.col("step"), o, F.col("block"), True)),
+        F.transform(every, lambda o: cell(F.col("step") - 1, o, F.col("block"), True))))
+
+    def run(key, cell):
+        right = cell["right"].to_numpy(bool)
+        to = np.flatnonzero(right) if key[2] != key[3] else np.arange(len(cell))
+        a, an, b, bn = possible_pairs(cell, np.flatnonzero(~right), to)
+        return pd.DataFrame({"a": a, "an": an, "b": b, "bn": bn})
+
+    placed = placed.select("*", cells.alias("at")).select(
+        "token", "at.*", "vid", "n", "pos", "indexed", "last", "more", "label", "mark")
+    return materialise(placed.groupBy("token", "of", "first", "second").applyInPandas(run, "a long, an long, b long, bn long")
+                       .distinct(), "pairs")
 
 
 def _directed(pairs):
@@ -546,20 +607,25 @@ def linked_classes(df):
         .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min(F.when(F.col("mark").isNotNull(), F.col("row"))).alias("vid")), "distinct")
     members = materialise(_postings(listed, sets), "members")
     marks = listed.where("mark is not null").select(F.col("row").alias("vid"), "mark")
-    pairs = _candidates(members, marks)
-    crowd = members.where(F.col("size") > PAIRED_SETS).select("vid")
-    vids = pairs.select(F.col("a").alias("vid")).union(pairs.select("b")).union(crowd).distinct()
-    wanted = materialise(sets.select("vid", "doc_id", "digest", "n").join(vids, "vid"), "wanted")
-    data = materialise(_sets_of(docs, wanted, bits), "sets")
 
-    links = materialise(_joined(_first_cells(pairs), data, wanted, None), "links")
-    labels = components(links)
-    links = materialise(links.union(_joined(_other_cells(pairs, labels), data, wanted, labels)), "links")
+    def wanted(pairs):
+        vids = pairs.select(F.col("a").alias("vid")).union(pairs.select("b")).distinct()
+        return materialise(sets.select("vid", "doc_id", "digest", "n").join(vids, "vid"), "wanted")
+
+    # First every set with a hub, and then only sets of different classes: near copies
+    # would meet each other at all that they share, of which there are squares.
+    pairs = _star_pairs(members, marks)
+    some = wanted(pairs)
+    data = materialise(_sets_of(docs, some, bits), "sets")
+    links = materialise(_joined(_first_cells(pairs), data, some, None), "links")
     labels = components(links)
-    crowded = _crowded(members, labels, marks)
-    if crowded.limit(1).count():
-        more = materialise(_joined(_other_cells(crowded, labels), data, wanted, labels), "links")
-        labels = components(links.union(more))
+    known = materialise(_between(members, labels), "between")
+    pairs = materialise(_candidates(known, marks).union(_crowded(known, marks)).distinct(), "pairs")
+    if pairs.limit(1).count():
+        some = wanted(pairs)
+        data = materialise(_sets_of(docs, some, bits), "sets")
+        links = links.union(materialise(_joined(_other_cells(pairs, labels), data, some, labels), "links"))
+        labels = components(links)
 
     vertex = sets.select("digest", "doc_id", "vid").join(
         labels.withColumnRenamed("vertex", "vid"), "vid", "left").withColumn("label", F.coalesce("label", "vid"))

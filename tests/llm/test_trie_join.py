@@ -130,3 +130,34 @@ def test_whole_table(spark, read, run_query):
     got = run_query("op11_trie_join")[["doc_id", "n_shingles", "component_id"]]
     assert sorted(map(tuple, got.to_numpy().tolist()), key=str) == plain_classes(
         list(docs[["doc_id", "text"]].itertuples(index=False, name=None)))
+
+
+def test_no_step_writes_the_square_of_a_group(spark, monkeypatch):
+    """A passage that many unlike sets share, and near copies of one text."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    passage, text = [word() for _ in range(100)], [word() for _ in range(150)]
+    rows = [(i, " ".join(passage + [word() for _ in range(16)])) for i in range(300)]
+    rows += [(1000 + i, " ".join(edited(rng, text, 1))) for i in range(200)]
+    written, materialise = [], trie_join.materialise
+
+    def counted(df, name):
+        out = materialise(df, name)
+        written.append((out.count(), name))
+        return out
+    monkeypatch.setattr(trie_join, "materialise", counted)
+    monkeypatch.setattr(trie_join, "PAIRED_SETS", 16)
+    assert classes(spark, rows) == plain_classes(rows)
+    assert max(n for n, name in written if name in ("pairs", "cells", "left")) < 16 * len(rows)
+
+
+@pytest.mark.parametrize("cell", [4096, 7])
+def test_pairs_of_a_hot_shingle_in_cells_of_any_size(spark, monkeypatch, cell):
+    monkeypatch.setattr(trie_join, "PAIRED_SETS", 4)
+    monkeypatch.setattr(trie_join, "CELL_SETS", cell)
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    passage = [word() for _ in range(90)]
+    own = [[word() for _ in range(4 + i % 24)] for i in range(60)]
+    rows = [(i, " ".join(passage + o)) for i, o in enumerate(own)]
+    assert classes(spark, rows) == plain_classes(rows)
