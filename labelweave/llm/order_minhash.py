@@ -28,6 +28,7 @@ SKETCHES = 48
 SKETCH_KMERS = 3
 SMALL_BUCKET = 32  # texts that are compared with each other; more are refined
 CELL_TEXTS = 2048  # at most about so many texts of a large bucket are compared with as many others in a task
+CELL_WORDS = 1 << 21  # of them, about; a longer text is alone
 SIMILARITY = (4, 5)  # 0.8 as a fraction
 _MARK_BITS = 2048
 _MANY = 20_000  # k-mers beyond which hash functions are applied one by one
@@ -159,19 +160,48 @@ def mark(words):
 def possible_pairs(vids, words, labels, marks, left, right):
     """Pairs (a, b) of different labels, one at ``left``, one at ``right``, whose
     numbers of words and marks do not forbid the similarity."""
+    found = [np.stack([np.minimum(vids[p], vids[to]), np.maximum(vids[p], vids[to])])
+             for p, to in _possible(words, labels, marks, left, right)]
+    return np.unique(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1), axis=1)
+
+
+def _possible(words, labels, marks, left, right):
+    """For each place at ``left`` (place, those at ``right``) of such pairs, by the
+    bits in which their marks differ."""
     over, under = SIMILARITY
     marks = np.frombuffer(b"".join(marks), np.uint64).reshape(-1, _MARK_BITS // 64)
     right = right[np.argsort(words[right], kind="stable")]
-    sizes, right_marks, found = words[right], marks[right], []
+    sizes, right_marks = words[right], marks[right]
     low = np.searchsorted(sizes, -(-over * words[left] // under), "left")
     high = np.searchsorted(sizes, under * words[left] // over, "right")
     for i, p in enumerate(left.tolist()):
         at = slice(low[i], high[i])
         differ = np.bitwise_count(right_marks[at] ^ marks[p]).sum(axis=1, dtype=np.int64)
         spare = words[p] + sizes[at] - 2 * -(-over * np.maximum(words[p], sizes[at]) // under)
-        to = right[at][(differ <= spare) & (labels[right[at]] != labels[p])]
-        found.append(np.stack([np.minimum(vids[p], vids[to]), np.maximum(vids[p], vids[to])]))
-    return np.unique(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1), axis=1)
+        keep = (differ <= spare) & (labels[right[at]] != labels[p])
+        yield p, right[at][keep][np.argsort(differ[keep], kind="stable")]
+
+
+def cell_links(nth, vids, words, labels, data, keys, left, right):
+    """Links (a, b) that connect every two classes of a bucket between which a text
+    at ``left`` and one at ``right`` are similar. ``keys`` are all sketches of the
+    texts; a pair is compared in the bucket of the first that agrees, ``nth``."""
+    root = {label: label for label in labels.tolist()}
+
+    def find(label):
+        while root[label] != label:
+            root[label] = label = root[root[label]]
+        return label
+
+    texts, links = [np.frombuffer(d, np.uint32) for d in data], []
+    for p, to in _possible(words, labels, [mark(t) for t in texts], left, right):
+        to = to[~(keys[to, :nth] == keys[p, :nth]).any(axis=1)]
+        for q in (to[vids[to] > vids[p]] if left is right else to).tolist():
+            a, b = find(labels[p]), find(labels[q])
+            if a != b and similar(texts[p], texts[q]):
+                root[max(a, b)] = min(a, b)
+                links.append((vids[p], vids[q]))
+    return links
 
 
 # On Spark
@@ -285,29 +315,30 @@ def _small_pairs(members):
             .where(_within_size(F.col("words"), F.col("b_words"))).select(F.col("vid").alias("a"), "b"))
 
 
-def _crowded_pairs(crowded, labels, words):
-    """Pairs (a, b) of different classes in the buckets of ``crowded`` that may be
-    similar: all pairs are compared by their marks, in cells of two blocks of a bucket."""
-    def marked(batches):
-        for batch in batches:
-            yield pd.DataFrame({"vid": batch["vid"], "mark": [mark(np.frombuffer(d, np.uint32)) for d in batch["data"]]})
-
+def _crowded_links(crowded, labels, words, sketches):
+    """Links (a, b) of similar texts of different classes in the buckets of
+    ``crowded``: all pairs are compared by their marks and aligned where these allow
+    it, in cells of two blocks of a bucket. A pair leaves its cell only if it joins
+    classes, and is compared in one of the buckets where it meets."""
     def run(key, cell):
         column = lambda c: cell[c].to_numpy(np.int64)
         left, right = (np.flatnonzero(column("block") == at) for at in key[1:])
-        a, b = possible_pairs(column("vid"), column("words"), column("label"), cell["mark"], left, right)
-        return pd.DataFrame({"a": a, "b": b})
+        right = left if key[1] == key[2] else right
+        links = cell_links(int(cell["nth"].iloc[0]), column("vid"), column("words"), column("label"), cell["data"],
+                           np.array([np.asarray(k, np.int64) for k in cell["keys"]]), left, right)
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     known = materialise(crowded.join(labels.withColumnRenamed("vertex", "vid"), "vid", "left")
                         .withColumn("label", F.coalesce("label", "vid")), "crowded")
-    mixed = known.groupBy("key").agg(F.count("*").alias("size"), (F.min("label") != F.max("label")).alias("open"))
-    blocks = materialise(mixed.where("open").select("key", F.ceil(F.col("size") / CELL_TEXTS).alias("blocks")), "blocks")
+    mixed = known.groupBy("key").agg(F.count("*").alias("size"), F.sum("words").alias("sum"),
+                                     (F.min("label") != F.max("label")).alias("open"))
+    blocks = materialise(mixed.where("open").select("key", F.ceil(F.greatest(
+        F.col("size") / CELL_TEXTS, F.col("sum") / CELL_WORDS)).alias("blocks")), "blocks")
     known = known.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")))
-    marks = materialise(words.join(known.select("vid").distinct(), "vid").mapInPandas(marked, "vid long, mark binary"), "marks")
     cells = known.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return (cells.join(marks, "vid")
+    return (cells.join(words, "vid").join(sketches, "vid")
             .select("key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
-                    "vid", "words", "label", "block", "mark")
+                    "nth", "vid", "words", "label", "block", "data", "keys")
             .groupBy("key", "first", "second").applyInPandas(run, "a long, b long"))
 
 
@@ -370,7 +401,7 @@ def near_duplicates(df):
         pairs, turn, open_ = [], turn + 1, known.join(mixed, "key")
         refining = True in kinds and used < SKETCHES
         if turn == 1 and refining:
-            crowded = materialise(open_.where("large").select("key", "vid", "words"), "crowded")
+            crowded = materialise(open_.where("large").select("key", "vid", "words", "nth"), "crowded")
         if False in kinds:
             pairs.append(_small_pairs(materialise(open_.where("not large").select("key", "vid", "words", "label"), "small")))
         if refining:
@@ -392,7 +423,7 @@ def near_duplicates(df):
         if not refining:
             break
     if crowded is not None:
-        found = materialise(_verified(_untested(_crowded_pairs(crowded, labels, words), tested), words), "links")
+        found = materialise(_crowded_links(crowded, labels, words, distinct.select("vid", "keys")), "links")
         if found.limit(1).count():
             labels = _merged(labels, found)
 

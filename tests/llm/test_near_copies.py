@@ -134,3 +134,22 @@ def test_marks_forbid_no_similar_pair():
         want = {(min(i, j), max(i, j)) for i in left.tolist() for j in right.tolist()
                 if (i - j) % 40 and om.similar(texts[i], texts[j])}
         assert want and want <= set(zip(a.tolist(), b.tolist())) and len(a) < len(left) * len(right) // 2
+
+
+@pytest.mark.parametrize("cell", [om.CELL_TEXTS, 20])
+def test_only_links_leave_the_cells_of_a_large_bucket(spark, monkeypatch, cell):
+    """Texts of the same words, half of them in another order, look alike by their
+    marks: they are told apart where they lie, not as rows of all pairs."""
+    monkeypatch.setattr(om, "CELL_TEXTS", cell)
+    rng, passage, own = np.random.default_rng(2), words("p", 50), words("o", 50)
+    rows = [(i, " ".join(passage + rng.permutation(own).tolist())) for i in range(120)]
+    rows += [(1000 + i, " ".join(words(f"x{i}y", 1) + rows[i][1].split())) for i in range(10)]
+    compared, verified = [], om._verified
+
+    def counted(pairs, texts):
+        compared.append(pairs.count())
+        return verified(pairs, texts)
+    monkeypatch.setattr(om, "_verified", counted)
+    got = {r["doc_id"]: r["class_id"] for r in om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {doc: doc % 1000 for doc, _ in rows}
+    assert sum(compared) < 20 * len(rows)
