@@ -63,3 +63,23 @@ def test_letters_are_those_of_the_pattern(spark):
         assert df.where(~condition).count() == 0
     plan = df.select(tx.letters_only(x))._jdf.queryExecution().optimizedPlan().toString()
     assert fixed.NOT_LETTER_OR_BLANK not in plan
+
+
+def test_learning_rows_are_cleaned_and_counted_once(spark, sf_dir, monkeypatch):
+    """Document frequencies and the regression read written counts, and what the
+    model says of the rows it learned from is not worked out from their texts."""
+    from labelweave.workload import catalogue
+    cleaned, fitted, clean = [], [], tc.with_clean_text
+    monkeypatch.setattr(tc, "with_clean_text", lambda *a: cleaned.append(1) or clean(*a))
+    for kind in (tc.IDF, tc.LogisticRegression):
+        def fit(self, rows, _fit=kind._fit):
+            fitted.append(rows._jdf.queryExecution().optimizedPlan().toString())
+            return _fit(self, rows)
+        monkeypatch.setattr(kind, "_fit", fit)
+    assert catalogue.queries()["c12_text_classifier"](spark, sf_dir).where("not has_learned").count() == 0
+    assert len(cleaned) == 2 and len(fitted) == 2 and all("tweet" not in plan for plan in fitted)
+    df = spark.createDataFrame([(f"word{i % 7} good" if i % 2 else f"word{i % 5} bad", str(i % 2)) for i in range(60)],
+                               "text string, sentiment string")
+    model, rows = tc.fit_with_rows(df)
+    same = lambda x: sorted((r["label"], str(r["features"])) for r in x.select("label", "features").collect())
+    assert same(rows) == same(tc.classify(model, df))
