@@ -19,9 +19,10 @@ import hashlib
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelweave.llm.common import table, whole_text
-from labelweave.llm.filters import filter_of, found
+from labelweave.llm.filters import filter_of, found, may_hold
 from labelweave.llm.order_minhash import components
 from labelweave.session import materialise
 
@@ -34,6 +35,7 @@ RARE = 4  # counted sets from which a shingle is frequent; levels are its powers
 LEVELS = 7
 _HASH_BITS = 60  # of a shingle; the three bits above are its level, the sign stays free
 _MARK_BITS = 2048
+_FINE_BITS = 1 << 16  # of the mark of a very large set; only more sets are compared for it
 _CHUNK = 1 << 20  # bytes hashed at once, about
 _ODD = 0x9E3779B97F4A7C15
 _MASK = 0xFFFFFFFFFFFFFFFF
@@ -195,65 +197,97 @@ def frequent_filter(docs):
     return filter_of(keys_of, counts, 2 * counts.count())
 
 
-def _mark(tokens):
-    """A set in 2048 bits, each the parity of the shingles it stands for: two
-    sets differ in at least as many shingles as their marks in bits."""
-    odd = np.bincount((tokens & np.uint64(_MARK_BITS - 1)).astype(np.int64), minlength=_MARK_BITS) & 1
+def _mark(tokens, bits=_MARK_BITS):
+    """A set in 2048 bits, or another power of two, each the parity of the shingles
+    it stands for: two sets differ in at least as many shingles as their marks in
+    bits."""
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _fine_mark(tokens):
+    """The mark of a set of more shingles than 2048 in at least as many bits, for in
+    fewer all large sets look alike; None of other sets."""
+    bits = min(1 << (len(tokens) - 1).bit_length(), _FINE_BITS)
+    return _mark(tokens, bits) if bits > _MARK_BITS else None
+
+
+def marks_differ(a, b):
+    """In how many bits two marks differ; a longer one is folded to the bits of the other."""
+    words = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(np.asarray(m, np.int64).reshape(-1, words), axis=0) for m in (a, b))
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum(dtype=np.int64))
+
+
 def _listed(docs, bits):
     """row (a number), doc_id, digest of the set (null if empty), size, and, but
-    where the task listed an equal set before, its first places and its mark."""
+    where the task listed an equal set before, its first places and its marks."""
     def run(batches):
         seen = set()
         for batch in batches:
             rows = []
             for tokens in shingle_sets(batch["text"]):
                 digest = _digest(tokens) if len(tokens) else None
-                first = mark = None
+                first = mark = fine = None
                 if digest not in seen and len(tokens):
                     seen.add(digest)
                     first, mark = ordered(tokens, bits)[:probe_length(len(tokens))].view(np.int64), _mark(tokens)
-                rows.append((digest, len(tokens), first, mark))
-            out = pd.DataFrame(rows, columns=["digest", "n", "first", "mark"])
+                    fine = _fine_mark(tokens)
+                rows.append((digest, len(tokens), first, mark, fine))
+            out = pd.DataFrame(rows, columns=["digest", "n", "first", "mark", "fine"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(run, "doc_id long, digest binary, n long, first array<long>, mark array<long>").withColumn(
-        "row", F.monotonically_increasing_id())
+    return docs.mapInPandas(
+        run, "doc_id long, digest binary, n long, first array<long>, mark array<long>, fine array<long>").withColumn(
+            "row", F.monotonically_increasing_id())
 
 
 def _postings(listed, sets):
-    """token, vid, n, pos, indexed, last (the last of the set's first places) and
-    size, the number of sets that have the token among their first places, of
-    those that two sets share.
+    """token, vid, n, pos, indexed, last (the last of the set's first places), share
+    (how many of them others share, about) and size, the number of sets that have the
+    token among their first places, of those that two sets share.
 
-    A filter leaves most others where they lie; it is made before sets that
-    several tasks list are brought down to one.
+    Of equal sets that several tasks list one is kept; a filter tells which sets may
+    have to go, so that few are moved for that. Another leaves most places that no two
+    sets share where they lie.
     """
     rows = listed.where("first is not null").select(F.col("row").alias("vid"), "n", "first")
-    shared = materialise(rows.select(F.explode("first").alias("token")).groupBy("token")
+    vids = sets.select("vid")
+    spare = materialise(rows.select("vid").join(vids, "vid", "left_anti"), "spare")
+    row_keys = lambda batch: batch["vid"].to_numpy(dtype=np.int64).view(np.uint64)
+    doubted = filter_of(row_keys, spare, spare.count())
+
+    @F.pandas_udf(T.BooleanType())
+    def doubt(vids: pd.Series) -> pd.Series:
+        return pd.Series(found(doubted, vids.to_numpy(dtype=np.int64).view(np.uint64)))
+
+    maybe = doubt("vid")
+    once = materialise(rows.where(maybe).join(vids, "vid").select(*rows.columns), "once")
+    shared = materialise(rows.where(~maybe).union(once).select(F.explode("first").alias("token")).groupBy("token")
                          .agg(F.count("*").alias("size")).where("size > 1"), "shared")
     keys = lambda batch: _mixed(batch["token"].to_numpy().view(np.uint64))
     bits = filter_of(keys, shared.select("token"), shared.count())
 
-    def run(batches):
+    def places(batches):
         for batch in batches:
-            sizes = batch["first"].map(len).to_numpy()
+            sizes = batch["first"].map(len).to_numpy(dtype=np.int64)
             at = np.repeat(np.arange(len(batch)), sizes)
             tokens = np.concatenate([np.empty(0, np.int64), *batch["first"]]).astype(np.int64)
             pos = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             last = np.array([first[-1] for first in batch["first"]], np.int64)
             keep = found(bits, _mixed(tokens.view(np.uint64)))
             at = at[keep]
+            share = np.bincount(at, minlength=len(batch))
             yield pd.DataFrame({"token": tokens[keep], "vid": batch["vid"].to_numpy()[at],
-                                "n": batch["n"].to_numpy()[at], "pos": pos[keep], "last": last[at]})
+                                "n": batch["n"].to_numpy()[at], "pos": pos[keep], "last": last[at], "share": share[at]})
+
+    def sure(batches):
+        return places(batch[~found(doubted, row_keys(batch))] for batch in batches)
 
-    held = rows.mapInPandas(run, "token long, vid long, n long, pos long, last long").join(sets.select("vid"), "vid")
-    held = materialise(held, "held")
-    sizes = materialise(held.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
-    return held.withColumn("indexed", F.col("pos") < _index_length("n")).join(sizes, "token")
+    schema = "token long, vid long, n long, pos long, last long, share long"
+    held = materialise(rows.mapInPandas(sure, schema).union(once.mapInPandas(places, schema)), "held")
+    return held.withColumn("indexed", F.col("pos") < _index_length("n")).join(shared, "token")
 
 
 def _owner_keys(ids, digests):
@@ -424,12 +458,10 @@ def _possible(x, y):
 
 def _star_pairs(members, marks):
     """Written pairs (a, an, b, bn) of sets, with their sizes: every set with the hub of
-    each of its shingles, the set that shares most shingles with others, if it may
-    be linked with it. They are no more than the places of the sets."""
-    degree = materialise(members.groupBy("vid").agg(F.sum("size").alias("degree")), "degree")
+    each of its shingles, the set that shares most of its first places with others, if
+    it may be linked with it. They are no more than the places of the sets."""
     # Written, so that adaptive execution can split the sets of a hot shingle.
-    hubs = materialise(members.join(degree, "vid").groupBy("token").agg(
-        F.max(F.struct("degree", "vid", "n", "pos", "indexed")).alias("y")), "hubs")
+    hubs = materialise(members.groupBy("token").agg(F.max(F.struct("share", "vid", "n", "pos", "indexed")).alias("y")), "hubs")
     stars = (members.select("token", F.struct("vid", "n", "pos", "indexed").alias("x")).join(hubs, "token")
              .where("x.vid <> y.vid").where(_possible("x", "y"))
              .select(F.least(F.struct("x.vid", "x.n"), F.struct("y.vid", "y.n")).alias("x"),
@@ -462,7 +494,8 @@ def _candidates(known, marks):
     side = lambda s: few.select("token", F.struct(
         "vid", "n", "pos", "indexed", "last", "more", "label").alias(s))
     ends = [F.col(f"{s}.{c}").alias(f"{s}{c}") for s in "xy" for c in ("vid", "n", "last", "more")]
-    met = (side("x").join(side("y"), "token").where("x.vid < y.vid and x.label <> y.label").groupBy(*ends)
+    met = (side("x").join(side("y"), "token").where("x.vid < y.vid and x.label <> y.label")
+           .where("5 * x.n >= 4 * y.n and 5 * y.n >= 4 * x.n").groupBy(*ends)
            .agg(F.count("*").alias("common"), F.max(_possible("x", "y")).alias("possible")))
     rest = F.when(F.col("xlast") <= F.col("ylast"), F.col("xn") - _probe_length("xn")).otherwise(
         F.col("yn") - _probe_length("yn"))
@@ -475,13 +508,20 @@ def _candidates(known, marks):
 
 
 def _marked(pairs, marks):
-    """The pairs whose marks allow a link, written."""
+    """The pairs whose marks allow a link, written. A filter leaves most marks of
+    other sets where they lie."""
     pairs = materialise(pairs, "pairs")
-    mark = lambda s: marks.select(F.col("vid").alias(s), F.col("mark").alias(f"{s}_mark"))
-    differ = F.aggregate(F.zip_with("a_mark", "b_mark", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                         F.lit(0), lambda n, x: n + x)
+    ends = materialise(pairs.select(F.col("a").alias("vid")).union(pairs.select("b")).distinct(), "ends")
+    own = materialise(marks.where(may_hold(ends, "vid")(F.col("vid"))).select("vid", F.coalesce("fine", "mark").alias("mark")), "marks")
+    mark = lambda s: own.select(F.col("vid").alias(s), F.col("mark").alias(f"{s}_mark"))
+
+    @F.pandas_udf(T.LongType())
+    def differ(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([marks_differ(x, y) for x, y in zip(a, b)], dtype="int64")
+
     both = F.col("an") + F.col("bn")
-    return materialise(pairs.join(mark("a"), "a").join(mark("b"), "b").where(differ <= both - 2 * F.ceil(4 * both / 9))
+    return materialise(pairs.join(mark("a"), "a").join(mark("b"), "b")
+                       .where(differ("a_mark", "b_mark") <= both - 2 * F.ceil(4 * both / 9))
                        .select("a", "an", "b", "bn"), "pairs")
 
 
@@ -518,12 +558,14 @@ def _crowded(known, marks):
     """Written pairs of sets of different classes that have nothing among their
     first places in common but shingles of more than PAIRED_SETS sets, and may be
     linked nevertheless. Sets meet by shingle and class of sizes, in cells of two
-    blocks of at most about CELL_SETS; only what the marks allow leaves a cell."""
+    blocks of at most about CELL_SETS; only what the short marks allow leaves a cell,
+    and what the fine ones allow is written."""
     steps = (known.where(F.col("size") > PAIRED_SETS).drop("size")
              .withColumn("step", F.floor(F.log(F.col("n")) / F.log(F.lit(_SIZE_STEP)))))
     blocks = (steps.groupBy("token", "step").agg(F.count("*").alias("size"))
               .groupBy("token").agg(F.ceil(F.max("size") / CELL_SETS).alias("blocks")))
-    placed = (steps.join(materialise(blocks, "blocks"), "token").join(marks, "vid")
+    own = materialise(marks.where(may_hold(steps.select("vid"), "vid")(F.col("vid"))).select("vid", "mark"), "marks")
+    placed = (steps.join(materialise(blocks, "blocks"), "token").join(own, "vid")
               .withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks"))))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     cell = lambda step, first, second, right: F.struct(
@@ -542,8 +584,8 @@ def _crowded(known, marks):
 
     placed = placed.select("*", cells.alias("at")).select(
         "token", "at.*", "vid", "n", "pos", "indexed", "last", "more", "label", "mark")
-    return materialise(placed.groupBy("token", "of", "first", "second").applyInPandas(run, "a long, an long, b long, bn long")
-                       .distinct(), "pairs")
+    return _marked(placed.groupBy("token", "of", "first", "second").applyInPandas(run, "a long, an long, b long, bn long")
+                   .distinct(), marks)
 
 
 def _directed(pairs):
@@ -568,12 +610,15 @@ def _probe_cells(pairs):
 def _first_cells(pairs):
     """Every set with the one of its candidates that has most candidates itself:
     in a group of near copies that is their original, mostly, and few other pairs
-    of the group are left then."""
+    of the group are left then. Two that have each other are compared once."""
     both = _directed(pairs)
     degree = materialise(both.groupBy("vid").agg(F.count("*").alias("degree")), "degrees")
     best = (both.join(degree.withColumnsRenamed({"vid": "probe", "degree": "order"}), "probe")
-            .groupBy("vid", "n").agg(F.max_by(F.struct("probe", "probe_n"), F.struct("order", "probe")).alias("best")))
-    return _probe_cells(best.select("best.probe", "best.probe_n", "vid", "n"))
+            .groupBy("vid", "n").agg(F.max(F.struct("order", "probe", "probe_n")).alias("best"))
+            .select("best.*", "vid", "n"))
+    once = best.groupBy(F.least("probe", "vid").alias("low"), F.greatest("probe", "vid").alias("high")).agg(
+        F.max(F.struct("order", "probe", "probe_n", "vid", "n")).alias("pair"))
+    return _probe_cells(once.select("pair.probe", "pair.probe_n", "pair.vid", "pair.n"))
 
 
 def _other_cells(pairs, labels):
@@ -606,7 +651,7 @@ def linked_classes(df):
         listed.where("n > 0").groupBy("digest")
         .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min(F.when(F.col("mark").isNotNull(), F.col("row"))).alias("vid")), "distinct")
     members = materialise(_postings(listed, sets), "members")
-    marks = listed.where("mark is not null").select(F.col("row").alias("vid"), "mark")
+    marks = listed.where("mark is not null").select(F.col("row").alias("vid"), "mark", "fine")
 
     def wanted(pairs):
         vids = pairs.select(F.col("a").alias("vid")).union(pairs.select("b")).distinct()

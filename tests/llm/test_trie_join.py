@@ -161,3 +161,41 @@ def test_pairs_of_a_hot_shingle_in_cells_of_any_size(spark, monkeypatch, cell):
     own = [[word() for _ in range(4 + i % 24)] for i in range(60)]
     rows = [(i, " ".join(passage + o)) for i, o in enumerate(own)]
     assert classes(spark, rows) == plain_classes(rows)
+
+
+def test_marks_of_any_length_bound_what_differs():
+    rng = np.random.default_rng(6)
+    for n, m, common in [(2000, 2100, 1900), (2040, 2300, 2000), (6000, 6000, 0), (9000, 8000, 7900), (90000, 80000, 100)]:
+        every = rng.integers(0, 1 << 60, n + m - common).astype(np.uint64)
+        a, b = (trie_join._fine_mark(s) for s in (every[:n], every[n - common:]))
+        a = trie_join._mark(every[:n]) if a is None else a
+        b = trie_join._mark(every[n - common:]) if b is None else b
+        assert trie_join.marks_differ(a, b) <= n + m - 2 * common
+        assert trie_join.marks_differ(a, trie_join._mark(every[:n])) == 0
+        linked = trie_join.marks_differ(a, b) <= n + m - 2 * trie_join.overlap_needed(n, m)
+        assert linked == (common >= trie_join.overlap_needed(n, m))
+
+
+def test_large_sets_that_are_not_linked_are_not_compared(spark, monkeypatch):
+    """Texts that have more than half in common, two near copies, which are compared
+    once, and equal texts in several tasks."""
+    rng = random.Random(7)
+    words = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    rows = []
+    for i in range(6):
+        passage = words(3600)
+        rows += [(10 * i + j, " ".join(passage + words(2400))) for j in range(2)]
+    text = words(3000)
+    rows += [(100, " ".join(text)), (101, " ".join(edited(rng, text, 60)))]
+    rows += [(200 + i, "equal texts of some words in several tasks") for i in range(9)]
+    rng.shuffle(rows)
+    written, materialise = [], trie_join.materialise
+
+    def counted(df, name):
+        out = materialise(df, name)
+        written.append((out.count(), name))
+        return out
+    monkeypatch.setattr(trie_join, "materialise", counted)
+    assert classes(spark, rows) == plain_classes(rows)
+    assert [n for n, name in written if name == "wanted"] == [2]
+    assert max(n for n, name in written if name == "cells") == 2
